@@ -134,11 +134,11 @@ def apply(df: DataFrame, state: dict) -> DataFrame:
     @F.pandas_udf("array<double>")
     def filled(packed: pd.Series) -> pd.Series:
         held = packed.notna().to_numpy()
-        out = np.empty(len(packed), dtype=object)
+        out = pd.Series([None] * len(packed), dtype=object)
         if held.any():
             x = np.vstack(packed[held].to_numpy()).astype(float)
-            out[held] = list(replay(x, means, steps))
-        return pd.Series(out)
+            out[held] = pd.Series(list(replay(x, means, steps)), index=out.index[held])
+        return out
 
     # Complete rows reach the function as NULL and keep their own values.
     packed = F.when(any_null(cols), F.array(*[col(c).cast("double") for c in cols]))

@@ -20,25 +20,19 @@ def shuffle_code(key: Column) -> Column:
     return F.pmod(key * F.lit(MULTIPLIER).cast("bigint"), F.lit(MODULUS).cast("bigint"))
 
 
-def allocations(df: DataFrame, stratum: str, test_size: float) -> DataFrame:
-    """(stratum, n_train): validation gets ceil(test_size * n) rows in total, shares kept by the
-    largest remainder, a tie going to the smaller stratum."""
-    sizes = df.groupBy(col(stratum)).agg(F.count(F.lit(1)).alias("n"))
-    sizes = settle(sizes, "strata")
+def allocations(sizes: DataFrame, stratum: str, test_size: float) -> DataFrame:
+    """(stratum, n_train) from (stratum, n): validation gets ceil(test_size * total) rows, shares
+    kept by the largest remainder, a tie going to the smaller stratum."""
     total = sizes.agg(F.sum("n")).first()[0] or 0
     n_train = total - math.ceil(test_size * total)
-    exact = sizes.select(
-        col(stratum), "n",
-        F.expr(f"cast(cast(n as decimal(19,0)) * cast({n_train} as decimal(19,0)) as decimal(38,0))")
-        .alias("w"),
-    )
-    share = exact.select(
-        col(stratum), "n",
-        F.expr(f"cast(w div {max(total, 1)} as bigint)").alias("base"),
-        F.expr(f"cast(w % {max(total, 1)} as bigint)").alias("rest"),
+    # Products of two row counts need more than 64 bits.
+    wide = f"cast(cast(n as decimal(19,0)) * cast({n_train} as decimal(19,0)) as decimal(38,0))"
+    share = sizes.select(
+        col(stratum),
+        F.expr(f"cast({wide} div {max(total, 1)} as bigint)").alias("base"),
+        F.expr(f"cast({wide} % {max(total, 1)} as bigint)").alias("rest"),
     )
     spare = n_train - (share.agg(F.sum("base")).first()[0] or 0)
-    # One row per stratum, and only the `spare` largest remainders are kept by the rank.
     more = share.orderBy(F.col("rest").desc(), col(stratum)).limit(spare).select(
         col(stratum), F.lit(1).cast("bigint").alias("one")
     )
@@ -54,32 +48,31 @@ def stratified_split(
 
     The first `n_train` rows of a stratum in shuffle order are train. No stratum is sorted: rows
     are counted per (stratum, code), at most `MODULUS` counters each; the code where the running
-    count passes `n_train` is the boundary, and only rows at exactly that code are ranked by key.
+    count passes `n_train` is the boundary. Only if rows must be told apart at that very code are
+    they ranked by key, about one row in `MODULUS`.
     """
-    strata = settle(allocations(df, stratum, test_size), "allocation")
     coded = df.withColumn("__code", shuffle_code(col(key)))
+    counted = settle(
+        coded.groupBy(col(stratum), "__code").agg(F.count(F.lit(1)).alias("__n")), "codes")
+    sizes = settle(counted.groupBy(col(stratum)).agg(F.sum("__n").alias("n")), "strata")
     by_code = Window.partitionBy(stratum).orderBy("__code")
-    running = (
-        coded.groupBy(col(stratum), "__code").agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__upto", F.sum("__n").over(by_code))
-        .join(strata, stratum)
-    )
-    edge = running.where(
-        (F.col("__upto") >= F.col("n_train")) & (F.col("__upto") - F.col("__n") < F.col("n_train"))
-    ).select(
-        col(stratum), F.col("__code").alias("__edge"),
-        (F.col("n_train") - F.col("__upto") + F.col("__n")).alias("__take"),
+    running = counted.withColumn("__upto", F.sum("__n").over(by_code)).join(
+        allocations(sizes, stratum, test_size), stratum)
+    take = F.col("n_train") - F.col("__upto") + F.col("__n")
+    edge = settle(
+        running.where((F.col("__upto") >= F.col("n_train")) & (take > 0)).select(
+            col(stratum), F.col("__code").alias("__edge"), take.alias("__take"),
+            (take < F.col("__n")).alias("__shared")),
+        "edge",
     )
-    edge = settle(edge, "edge")
     marked = coded.join(edge, stratum, "left")
-    at_edge = marked.where(F.col("__code") == F.col("__edge"))
-    by_key = Window.partitionBy(stratum).orderBy(key)
-    tied = at_edge.select(
-        col(key), (F.row_number().over(by_key) <= F.col("__take")).alias("__tied")
-    )
-    tied = settle(tied, "edge_rows")
-    decided = marked.join(tied, key, "left")
-    train = F.coalesce(F.col("__tied"), F.col("__code") < F.col("__edge"), F.lit(False))
-    return decided.select(
+    train = F.coalesce(F.col("__code") <= F.col("__edge"), F.lit(False))
+    if edge.where("__shared").limit(1).count():
+        by_key = Window.partitionBy(stratum).orderBy(key)
+        tied = marked.where((F.col("__code") == F.col("__edge")) & F.col("__shared")).select(
+            col(key), (F.row_number().over(by_key) <= F.col("__take")).alias("__tied"))
+        marked = marked.join(settle(tied, "edge_rows"), key, "left")
+        train = F.coalesce(F.col("__tied"), train)
+    return marked.select(
         *[col(c) for c in df.columns], F.when(train, "train").otherwise("validation").alias(out)
     )
