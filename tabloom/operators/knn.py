@@ -1,8 +1,9 @@
 """Exact k nearest neighbours as a block join, and the imputer built on it.
 
-Donors are sorted along a space-filling curve inside (group, pattern of present columns) and cut
-into blocks of at most `DONOR_ROWS` rows; receivers likewise. A block carries its bounding box. The
-join pairs receiver blocks with donor blocks of the same group whose box may hold a neighbour:
+Donors of a group are sorted by which columns they have and along a space-filling curve, then cut
+into blocks of at most `DONOR_ROWS` rows; receivers likewise. A block carries its bounding box and
+the columns that all and that any of its rows have. The join pairs receiver blocks with donor blocks
+of the same group whose box may hold a neighbour:
 
 1. every receiver block takes one near donor block as its seed and measures the k-th distance
    there, which bounds the true k-th distance from above;
@@ -45,15 +46,14 @@ def _xs(p: int) -> list[str]:
 
 def _points(df: DataFrame, key: str, group: str | None, cols: list[str]) -> DataFrame:
     """(id, g, x0.., pattern): pattern has bit j set when x_j is present."""
-    present = F.lit(0).cast("bigint")
-    for j, c in enumerate(cols):
-        present = present + F.when(col(c).isNotNull(), F.lit(1 << j)).otherwise(F.lit(0)).cast("bigint")
-    g = F.lit("") if group is None else col(group).cast("string")
-    return df.select(
-        col(key).cast("bigint").alias("id"), g.alias("g"),
-        *[col(c).cast("double").alias(x) for c, x in zip(cols, _xs(len(cols)))],
-        present.alias("pattern"),
+    xs = _xs(len(cols))
+    named = df.select(
+        col(key).cast("bigint").alias("id"),
+        (F.lit("") if group is None else col(group).cast("string")).alias("g"),
+        *[col(c).cast("double").alias(x) for c, x in zip(cols, xs)],
     )
+    bits = " + ".join(f"if({x} is null, 0L, {1 << j}L)" for j, x in enumerate(xs))
+    return named.selectExpr("*", f"{bits} as pattern")
 
 
 def _ranges(points: DataFrame, p: int) -> list[list[float]]:
@@ -61,40 +61,39 @@ def _ranges(points: DataFrame, p: int) -> list[list[float]]:
     return [list(row[x]) if row[x] is not None else [0.0, 0.0] for x in _xs(p)]
 
 
-def _curve(ranges: list[list[float]]) -> Column:
-    """Position along the Z-order curve; it only decides which rows share a block."""
-    p = len(ranges)
-    bits = max(1, min(8, 62 // p))
-    code = F.lit(0).cast("bigint")
-    for j, (low, high) in enumerate(ranges[:62]):
-        if high <= low:
-            continue
-        step = F.floor((F.col(f"x{j}") - F.lit(low)) / F.lit((high - low) / (1 << bits)))
-        level = F.coalesce(
-            F.when(step < 0, 0).when(step >= (1 << bits), (1 << bits) - 1).otherwise(step), F.lit(0)
-        ).cast("bigint")
-        for b in range(bits):
-            at = b * min(p, 62) + j
-            code = code.bitwiseOR(F.shiftleft(F.shiftright(level, b).bitwiseAND(F.lit(1)), at))
-    return code
+def _with_curve(points: DataFrame, ranges: list[list[float]]) -> DataFrame:
+    """Add `z`, the position along the Z-order curve; it only decides which rows share a block."""
+    used = [(j, low, high) for j, (low, high) in enumerate(ranges) if high > low][:60]
+    if not used:
+        return points.selectExpr("*", "0L as z")
+    bits = max(1, min(6, 60 // len(used)))
+    top = (1 << bits) - 1
+    levels = [
+        f"cast(coalesce(least(greatest(floor((x{j} - {low!r}d) * {(top + 1) / (high - low)!r}d), 0L), {top}L), 0L)"
+        f" as bigint) as l{j}" for j, low, high in used
+    ]
+    parts = [
+        f"shiftleft(shiftright(l{j}, {b}) & 1L, {b * len(used) + at})"
+        for at, (j, _, _) in enumerate(used) for b in range(bits)
+    ]
+    coded = points.selectExpr("*", *levels).selectExpr("*", " | ".join(parts) + " as z")
+    return coded.drop(*[f"l{j}" for j, _, _ in used])
 
 
 def _pack(points: DataFrame, keys: list[str], ranges, rows: int, label: str) -> DataFrame:
     """One row per block: keys, block number, size, bounding box and the packed rows."""
     p = len(ranges)
-    order = [*keys, "z", "id"]
-    ordered = points.withColumn("z", _curve(ranges)).repartitionByRange(*order).sortWithinPartitions(*order)
-    number = F.shiftright(F.monotonically_increasing_id(), int(math.log2(rows)))
-    blocks = ordered.withColumn("block", number).groupBy("block", *keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.min(x).alias(f"lo{j}") for j, x in enumerate(_xs(p))],
-        *[F.max(x).alias(f"hi{j}") for j, x in enumerate(_xs(p))],
-        F.collect_list("id").alias("ids"),
-        F.flatten(F.collect_list(F.array(*[F.coalesce(x, F.lit(float("nan"))) for x in _xs(p)]))).alias("xs"),
-    )
+    order = [*keys, "pattern", "z", "id"]
+    ordered = _with_curve(points, ranges).repartitionByRange(*order).sortWithinPartitions(*order)
+    cells = ", ".join(f"coalesce(x{j}, double('NaN'))" for j in range(p))
+    aggs = ["bit_and(pattern) as every", "bit_or(pattern) as some", "collect_list(id) as ids",
+            f"flatten(collect_list(array({cells}))) as xs", "count(1) as n"]
+    aggs += [f"min(x{j}) as lo{j}" for j in range(p)] + [f"max(x{j}) as hi{j}" for j in range(p)]
+    number = f"shiftright(monotonically_increasing_id(), {int(math.log2(rows))}) as block"
+    blocks = ordered.selectExpr("*", number).groupBy("block", *keys).agg(*[F.expr(a) for a in aggs])
     # A block number can be shared by the last rows of one key and the first of the next.
-    name = F.concat_ws("/", "block", *[F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in keys])
-    return materialize(blocks.withColumn("name", name), label)
+    name = ", ".join(f"coalesce(cast({k} as string), '?')" for k in keys)
+    return materialize(blocks.selectExpr("*", f"concat_ws('/', block, {name}) as name"), label)
 
 
 def build_donors(points: DataFrame, ranges: list[list[float]], k: int) -> DataFrame:
@@ -102,56 +101,68 @@ def build_donors(points: DataFrame, ranges: list[list[float]], k: int) -> DataFr
     so the rest are left out; the rank filter runs before the shuffle as well."""
     same = Window.partitionBy("g", "pattern", *_xs(len(ranges))).orderBy("id")
     kept = points.where(F.col("pattern") > 0).withColumn("r", F.row_number().over(same))
-    return _pack(kept.where(F.col("r") <= k).drop("r"), ["g", "pattern"], ranges, DONOR_ROWS, "donors")
+    return _pack(kept.where(F.col("r") <= k).drop("r"), ["g"], ranges, DONOR_ROWS, "donors")
 
 
 def _boxed(df: DataFrame, side: str, p: int, extra: list[str]) -> DataFrame:
-    names = ["name", "g", "pattern", "n", *extra]
+    names = ["name", "g", "every", "some", "n", *extra]
     names += [f"{e}{j}" for e in ("lo", "hi") for j in range(p)]
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in names])
 
 
-def _usable() -> Column:
-    """The donor pattern shares a column with the receiver and holds the target."""
-    shared = F.expr("bit_count(r_pattern & d_pattern) > 0")
-    return shared & F.expr(f"r_target = {ANY} or (shiftright(d_pattern, r_target) & 1) = 1")
-
-
-def _weight(p: int) -> Column:
-    return F.lit(float(p)) / F.expr("bit_count(r_pattern & d_pattern)")
+def _usable(held: str = "d_some") -> Column:
+    """A donor of the block may share a column with the receiver and hold the target."""
+    return F.expr(
+        f"bit_count(r_some & {held}) > 0 and (r_target = {ANY} or (shiftright({held}, r_target) & 1) = 1)")
 
 
 def _least_distance(p: int) -> Column:
-    """Squared distance below which no pair of the two boxes can be; absent columns count 0
-    because `greatest` skips NULL."""
-    total = F.lit(0.0)
-    for j in range(p):
-        gap = F.greatest(
-            F.lit(0.0), F.col(f"d_lo{j}") - F.col(f"r_hi{j}"), F.col(f"r_lo{j}") - F.col(f"d_hi{j}")
-        )
-        total = total + gap * gap
-    return total * _weight(p)
+    """Squared distance below which no pair of the two boxes can be. Only columns that all rows of
+    both blocks have are counted, and the weight is that of the most columns any pair can share."""
+    gaps = " + ".join(
+        f"if((shiftright(r_every & d_every, {j}) & 1) = 1, "
+        f"pow(greatest(0d, d_lo{j} - r_hi{j}, r_lo{j} - d_hi{j}), 2), 0d)" for j in range(p))
+    return F.expr(f"({gaps}) * {p}d / bit_count(r_some & d_some)")
 
 
 def _centre_distance(p: int) -> Column:
-    total = F.lit(0.0)
-    for j in range(p):
-        gap = F.col(f"d_lo{j}") + F.col(f"d_hi{j}") - F.col(f"r_lo{j}") - F.col(f"r_hi{j}")
-        total = total + F.coalesce(gap * gap, F.lit(0.0))
-    return total * _weight(p)
+    """Closeness of two boxes, for choosing a seed."""
+    return F.expr(" + ".join(
+        f"pow(coalesce(d_lo{j} + d_hi{j} - r_lo{j} - r_hi{j}, 0d), 2)" for j in range(p)))
 
 
 def _matrix(cell, p: int) -> np.ndarray:
     return cell.values.to_numpy(zero_copy_only=False).reshape(-1, p)
 
 
-def _distances(r: np.ndarray, d: np.ndarray, p: int) -> np.ndarray:
-    """Squared distances over shared columns, scaled by all / shared; inf when none is shared."""
+def _ids(cell) -> np.ndarray:
+    return cell.values.to_numpy(zero_copy_only=False)
+
+
+def _distances(r: np.ndarray, d: np.ndarray, target: int) -> np.ndarray:
+    """Squared distances over shared columns, scaled by all / shared; inf when none is shared or
+    the donor lacks the target."""
+    p = r.shape[1]
+    r_has, d_has = ~np.isnan(r), ~np.isnan(d)
     total = np.zeros((len(r), len(d)))
-    shared = ~np.isnan(r[0]) & ~np.isnan(d[0])  # one pattern per block
-    for j in np.flatnonzero(shared):
-        total += (r[:, j, None] - d[None, :, j]) ** 2
-    return total * (p / shared.sum()) if shared.any() else np.full(total.shape, np.inf)
+    for j in range(p):
+        gap = r[:, j, None] - d[None, :, j]
+        total += np.where(np.isnan(gap), 0.0, gap * gap)
+    shared = r_has.astype(float) @ d_has.T.astype(float)
+    out = np.where(shared > 0, total * (p / np.maximum(shared, 1.0)), np.inf)
+    if target != ANY:
+        out[:, ~d_has[:, target]] = np.inf
+    return out
+
+
+def _block_distances(b: pa.RecordBatch, i: int, p: int, exclude_self: bool):
+    """(receiver ids, donor ids, donor rows, target, distances) of the i-th block pair."""
+    rid, did, target = _ids(b["r_ids"][i]), _ids(b["d_ids"][i]), b["r_target"][i].as_py()
+    donors = _matrix(b["d_xs"][i], p)
+    d2 = _distances(_matrix(b["r_xs"][i], p), donors, target)
+    if exclude_self:
+        d2[np.equal.outer(rid, did)] = np.inf
+    return rid, did, donors, target, d2
 
 
 def _bounds_kernel(p: int, k: int, exclude_self: bool):
@@ -161,12 +172,11 @@ def _bounds_kernel(p: int, k: int, exclude_self: bool):
         for b in batches:
             bounds = []
             for i in range(b.num_rows):
-                d2 = _distances(_matrix(b["r_xs"][i], p), _matrix(b["d_xs"][i], p), p)
-                if exclude_self:
-                    d2[np.equal.outer(b["r_ids"][i].values.to_numpy(), b["d_ids"][i].values.to_numpy())] = np.inf
-                kth = np.partition(d2, k - 1, axis=1)[:, k - 1] if d2.shape[1] >= k else np.array([np.inf])
-                bounds.append(float(kth.max()))
-            yield pa.RecordBatch.from_arrays([b["r_name"], pa.array(bounds, pa.float64())], names=["r_name", "bound"])
+                *_, d2 = _block_distances(b, i, p, exclude_self)
+                full = d2.shape[1] >= k
+                bounds.append(float(np.partition(d2, k - 1, axis=1)[:, k - 1].max()) if full else np.inf)
+            yield pa.RecordBatch.from_arrays(
+                [b["r_name"], pa.array(bounds, pa.float64())], names=["r_name", "bound"])
 
     return run
 
@@ -178,11 +188,7 @@ def _neighbours_kernel(p: int, k: int, exclude_self: bool):
         for b in batches:
             parts = []
             for i in range(b.num_rows):
-                rid, did = b["r_ids"][i].values.to_numpy(), b["d_ids"][i].values.to_numpy()
-                donors, target = _matrix(b["d_xs"][i], p), b["r_target"][i].as_py()
-                d2 = _distances(_matrix(b["r_xs"][i], p), donors, p)
-                if exclude_self:
-                    d2[np.equal.outer(rid, did)] = np.inf
+                rid, did, donors, target, d2 = _block_distances(b, i, p, exclude_self)
                 by_id = np.argsort(did, kind="stable")
                 best = by_id[np.argsort(d2[:, by_id], axis=1, kind="stable")[:, :k]]
                 dist = np.take_along_axis(d2, best, axis=1)
@@ -211,7 +217,7 @@ def nearest(
     """
     p = len(ranges)
     direct_rows = DIRECT_ROWS if direct_rows is None else direct_rows
-    packed = _pack(receivers, ["g", "pattern", "target"], ranges, RECEIVER_ROWS, "receivers")
+    packed = _pack(receivers, ["g", "target"], ranges, RECEIVER_ROWS, "receivers")
     r_cells = packed.select(F.col("name").alias("r_name"), F.col("ids").alias("r_ids"), F.col("xs").alias("r_xs"))
     d_cells = donors.select(F.col("name").alias("d_name"), F.col("ids").alias("d_ids"), F.col("xs").alias("d_xs"))
     r_box, d_box = _boxed(packed, "r", p, ["target"]), _boxed(donors, "d", p, ["block"])
@@ -222,11 +228,11 @@ def nearest(
         pairs = r_box.join(d_box, same_group & _usable())
     else:
         shift = max(0, math.ceil(math.log2(held[1] / COARSE_BLOCKS)))
-        coarse = F.concat_ws("/", F.shiftright("d_block", shift), "d_g", "d_pattern")
-        fine = d_box.withColumn("d_coarse", coarse)
+        fine = d_box.withColumn("d_coarse", F.concat_ws("/", F.shiftright("d_block", shift), "d_g"))
         top = materialize(
-            fine.groupBy(F.col("d_coarse").alias("d_name"), "d_g", "d_pattern").agg(
+            fine.groupBy(F.col("d_coarse").alias("d_name"), "d_g").agg(
                 F.max("d_n").alias("d_n"),
+                F.bit_and("d_every").alias("d_every"), F.bit_or("d_some").alias("d_some"),
                 *[F.min(f"d_lo{j}").alias(f"d_lo{j}") for j in range(p)],
                 *[F.max(f"d_hi{j}").alias(f"d_hi{j}") for j in range(p)],
             ), "coarse")
@@ -234,9 +240,9 @@ def nearest(
         near = F.min_by("d_name", _centre_distance(p)).alias("seed")
         first = r_box.join(top, same_group & _usable() & enough).groupBy("r_name").agg(near)
         hop = r_box.join(first, "r_name").join(fine, F.col("seed") == F.col("d_coarse"))
-        seeds = hop.where(_usable() & enough).groupBy("r_name").agg(near)
+        seeds = hop.where(_usable() & enough).groupBy("r_name", "r_target").agg(near)
         measured = seeds.join(r_cells, "r_name").join(d_cells, F.col("seed") == F.col("d_name"))
-        bounds = measured.select("r_name", "r_ids", "r_xs", "d_ids", "d_xs").mapInArrow(
+        bounds = measured.select("r_name", "r_target", "r_ids", "r_xs", "d_ids", "d_xs").mapInArrow(
             _bounds_kernel(p, k, exclude_self), "r_name string, bound double")
         bounds = materialize(bounds, "bounds")
         # A block without a seed has too few donors for a bound and keeps all of them.
@@ -244,9 +250,12 @@ def nearest(
             "bound", F.coalesce(F.col("bound") * SLACK, F.lit(float("inf"))))
         close = _least_distance(p) <= F.col("bound")
         hits = reach.join(top, same_group & _usable() & close).select(*reach.columns, F.col("d_name").alias("c"))
-        pairs = hits.join(fine.drop("d_g"), (F.col("c") == F.col("d_coarse")) & close)
+        pairs = hits.join(fine.drop("d_g"), (F.col("c") == F.col("d_coarse")) & _usable() & close)
 
-    tasks = pairs.select("r_name", "r_target", "d_name").join(r_cells, "r_name").join(d_cells, "d_name")
+    # A pair is little data and much work, so tasks are made by number and not by size.
+    pairs = pairs.select("r_name", "r_target", "d_name").repartition(
+        receivers.sparkSession.sparkContext.defaultParallelism)
+    tasks = pairs.join(r_cells, "r_name").join(d_cells, "d_name")
     found = tasks.select("r_target", "r_ids", "r_xs", "d_ids", "d_xs").mapInArrow(
         _neighbours_kernel(p, k, exclude_self),
         "id bigint, target int, donor bigint, d2 double, value double")
