@@ -39,8 +39,13 @@ def fill_group_modes(
 
 
 def fill_values(df: DataFrame, values: dict) -> DataFrame:
+    """Fill NULL by one value per column; a whole-number column filled by a fraction turns double."""
     types = dict(df.dtypes)
-    new = {c: F.coalesce(col(c), F.lit(v).cast(types[c])) for c, v in values.items() if v is not None}
+    new = {}
+    for c, v in values.items():
+        if v is not None:
+            kind = "double" if isinstance(v, float) and not v.is_integer() else types[c]
+            new[c] = F.coalesce(col(c).cast(kind), F.lit(v).cast(kind))
     return df.select(*replace(df, new))
 
 

@@ -202,14 +202,14 @@ def assembled(df: DataFrame, cols: list[str], label: str, as_class: bool = False
     return StringIndexer(inputCol="__class", outputCol="label").fit(out).transform(out).select("features", "label")
 
 
-def _estimator(model_name: str, model_type: str, n: int, seed: int):
+def _estimator(model_name: str, model_type: str, n: int, seed: int, depth: int):
     """The four models behind the `model` and `rfe` methods. The logistic penalty is one over the
     number of rows, which equals a unit penalty on the summed loss."""
     if model_type not in ("classifier", "regressor") or model_name not in ("rf", "linear"):
         raise ValueError(f"unknown model: {model_name} ({model_type})")
     if model_name == "rf":
         kind = RandomForestClassifier if model_type == "classifier" else RandomForestRegressor
-        return kind(numTrees=100, maxDepth=30, seed=seed, maxMemoryInMB=1024,
+        return kind(numTrees=100, maxDepth=depth, seed=seed, maxMemoryInMB=512,
                     featureSubsetStrategy="sqrt" if model_type == "classifier" else "all")
     if model_type == "classifier":
         return LogisticRegression(maxIter=500, regParam=1.0 / max(n, 1), standardization=False)
@@ -217,13 +217,14 @@ def _estimator(model_name: str, model_type: str, n: int, seed: int):
 
 
 def model_importance(
-    df: DataFrame, cols: list[str], label: str, model_name: str, model_type: str, seed: int = 42
+    df: DataFrame, cols: list[str], label: str, model_name: str, model_type: str, seed: int = 42,
+    depth: int = 30,
 ) -> np.ndarray:
     """Absolute importance per column: impurity decrease, or the coefficient (its largest size over
     the classes when there are several)."""
     data = assembled(df, cols, label, model_type == "classifier").persist()
     try:
-        fitted = _estimator(model_name, model_type, data.count(), seed).fit(data)
+        fitted = _estimator(model_name, model_type, data.count(), seed, depth).fit(data)
     finally:
         data.unpersist()
     if model_name == "rf":
@@ -234,17 +235,18 @@ def model_importance(
 
 
 def top_by_model(
-    df: DataFrame, cols: list[str], label: str, k: int, model_name: str, model_type: str, seed: int = 42
+    df: DataFrame, cols: list[str], label: str, k: int, model_name: str, model_type: str, seed: int = 42,
+    depth: int = 30,
 ) -> DataFrame:
     """(feature, score, kept) by model importance."""
-    scores = model_importance(df, cols, label, model_name, model_type, seed)
+    scores = model_importance(df, cols, label, model_name, model_type, seed, depth)
     frame = df.sparkSession.createDataFrame(list(zip(cols, map(float, scores))), "feature string, score double")
     return _best(frame, min(k, len(cols)))
 
 
 def rfe_by_model(
     df: DataFrame, cols: list[str], label: str, keep: int | None, model_name: str, model_type: str,
-    seed: int = 42,
+    seed: int = 42, depth: int = 30,
 ) -> list[str]:
     """Columns left after dropping the least important one per fit; half of them by default."""
     keep = max(1, len(cols) // 2) if keep is None else keep
@@ -254,7 +256,7 @@ def rfe_by_model(
         path = linear.elimination_path(m, m)
         return [cols[i] for i in next(k for k, _, _ in path if len(k) <= max(keep, 1))]
     while len(left) > keep:
-        left.pop(int(np.argmin(model_importance(df, left, label, model_name, model_type, seed))))
+        left.pop(int(np.argmin(model_importance(df, left, label, model_name, model_type, seed, depth))))
     return left
 
 
@@ -271,14 +273,15 @@ class FeatureSelection(Stage):
     modelName = param("modelName", "rf or linear", one_of("rf", "linear"))
     nFeatures = param("nFeatures", "columns kept by rfe", TC.toInt)
     seed = param("seed", "seed of the forests", TC.toInt)
+    depth = param("depth", "depth of the forests", TC.toInt)
     DEFAULTS = dict(method="variance", threshold=0.0, k=10, scoreFunc="f_classif",
-                    modelType="classifier", modelName="rf", seed=42, label="price")
+                    modelType="classifier", modelName="rf", seed=42, depth=30, label="price")
 
     def _fit(self, train: DataFrame) -> "SelectedModel":
         method, cols, label = self.get("method"), self.get("columns"), self.get("label")
         if cols is None:
             raise ValueError("name the candidate columns")
-        model = (self.get("modelName"), self.get("modelType"), self.get("seed"))
+        model = (self.get("modelName"), self.get("modelType"), self.get("seed"), self.get("depth"))
         if method == "variance":
             table = variances(train, cols, self.get("threshold"))
         elif method == "kbest":

@@ -16,10 +16,10 @@ CAR_BRANDS = ["africa", "america", "asia", "europe", "middle east"]
 RULES = cleaning.CleanRules(brands=typo_table(CAR_BRANDS))
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Doubles rounded for comparison across engines; sums depend on row order in the last digits."""
     return df.select(*[
-        (F.round(F.col(f"`{f.name}`"), DIGITS) + F.lit(0.0)).alias(f.name)
+        (F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])

@@ -18,6 +18,10 @@ from tabloom.plans.sqltext import r, register_cte, sql
 from tabloom.sources.cars import CATEGORICAL, KEY, LABEL, METRIC
 from tabloom.storage import materialize
 
+#: Depth of the registered forests. MLlib keeps full histograms per node, so trees grown until every
+#: leaf is pure (the library default here) take hours where these take seconds.
+DEPTH = 8
+
 register_cte("filled", "SELECT car_id, brand, price, " + ", ".join(
     f"coalesce(CAST({c} AS DOUBLE), (SELECT avg({c}) FROM train)) AS {c}" for c in METRIC) + " FROM train", ["train"])
 
@@ -30,8 +34,9 @@ def filled(spark, sf):
     return stage.fit(rows).transform(rows)
 
 
-def matrix(spark, sf, numeric: str = "knn_brandwise"):
-    """Train and validation rows as the models see them, prepared with state from train alone."""
+def matrix(spark, sf, numeric: str = "simple"):
+    """Train and validation rows as the models see them, prepared with state from train alone.
+    `preprocess_chain` and `predict_prices` run the same chain with the nearest-car fill."""
     rows = materialize(frames.split_cars(spark, sf), "split")
     model = car_preprocessor(numeric=numeric).fit(rows.where(F.col("split") == "train"))
     return materialize(model.transform(rows), "matrix")
@@ -81,10 +86,10 @@ def chi2_independence(spark, sf):
     return S.independence(frames.train(spark, sf), CATEGORICAL, LABEL)
 
 
-@query("variance_select", sql("SELECT feature, " + r("v", "variance") + ", v > 3 AS kept FROM (" + _union([
+@query("variance_select", sql("SELECT feature, round(v, 3) AS variance, v > 3 AS kept FROM (" + _union([
     f"SELECT '{c}' AS feature, var_pop({c}) AS v FROM filled" for c in METRIC]) + ")", "filled"))
 def variance_select(spark, sf):
-    return rounded(S.variances(filled(spark, sf), METRIC, 3.0))
+    return rounded(S.variances(filled(spark, sf), METRIC, 3.0), 3)
 
 
 def _kept(scores: list[str], k: int) -> str:
@@ -193,12 +198,12 @@ def ridge(spark, sf):
 @query("importance_forest")
 def importance_forest(spark, sf):
     data = matrix(spark, sf)
-    return S.top_by_model(train_of(data), features(data), LABEL, 10, "rf", "regressor")
+    return S.top_by_model(train_of(data), features(data), LABEL, 10, "rf", "regressor", depth=DEPTH)
 
 
 @query("importance_forest_classes")
 def importance_forest_classes(spark, sf):
-    return S.top_by_model(filled(spark, sf), METRIC, "brand", 4, "rf", "classifier")
+    return S.top_by_model(filled(spark, sf), METRIC, "brand", 4, "rf", "classifier", depth=DEPTH)
 
 
 @query("importance_linear")
