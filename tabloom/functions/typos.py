@@ -24,7 +24,7 @@ FUELS_EXTRA = {"eletric": "Electric", "letric": "Electric", "eletri": "Electric"
 FUELS_STRICT = {letter: "Eletric" for letter in "eletric"}
 
 #: A typo table is a literal map, so it is kept to a size that belongs in an expression.
-MAX_VARIANTS = 2000
+MAX_VARIANTS = 500
 
 
 def spellings(name: str) -> list[str]:
