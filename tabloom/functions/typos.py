@@ -66,7 +66,7 @@ def transmission_table() -> dict[str, str]:
 def map_values(c: Column, table: dict[str, str], default: Column | None = None) -> Column:
     """Dictionary lookup as an expression: a miss is NULL, or `default` when given."""
     literal = F.create_map(*[F.lit(v) for v in chain.from_iterable(table.items())])
-    found = F.when(c.isNotNull(), F.try_element_at(literal, c))
+    found = F.try_element_at(literal, c)
     return found if default is None else F.coalesce(found, default)
 
 

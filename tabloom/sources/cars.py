@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.sources.files import read_table
+from tabloom.sources.files import read_table, spread
 
 KEY = "car_id"
 LABEL = "price"
@@ -65,4 +65,5 @@ def cars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw, dirty car table over all orders."""
     names = ("orders", "customer", "nation", "region")
     frames = {n: read_table(spark, f"{sf_dir}/{n}.parquet") for n in names}
+    frames["orders"] = spread(frames["orders"], "o_orderkey")
     return spark.sql(CARS_SQL, **frames)

@@ -43,6 +43,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return nan_to_null(spark.read.parquet(path))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan with fewer splits than cores one task per core; a larger scan is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header and a declared schema; columns are matched by name, not by position."""
     header = spark.read.option("header", True).csv(path).columns
