@@ -9,8 +9,8 @@ of the same group whose box may hold a neighbour:
    there, which bounds the true k-th distance from above;
 2. coarse boxes (many donor blocks each, at most `COARSE_BLOCKS` in all) and then single boxes that
    are further away than the bound are dropped;
-3. what is left is measured in Arrow batches, one block pair per row, and only the k best donors
-   of each receiver leave a task.
+3. what is left is measured in Arrow batches, one block pair per row, and only the donors that
+   are among the k nearest of their block leave it.
 
 No group is collected, no pair of rows is emitted, and no candidate that could win is skipped. With
 at most `DIRECT_ROWS` donors the bounds cost more than they save and step 3 runs on all block pairs.
@@ -34,7 +34,7 @@ from tabloom.storage import materialize
 DONOR_ROWS = 256  # powers of two: a block number is a shifted row number
 RECEIVER_ROWS = 64
 COARSE_BLOCKS = 32_768
-DIRECT_ROWS = 50_000
+DIRECT_ROWS = 500_000
 SLACK = 1 + 1e-9  # bounds come from another engine's arithmetic
 
 ANY = -1  # target of a plain search: every donor qualifies
@@ -145,11 +145,16 @@ def _distances(r: np.ndarray, d: np.ndarray, target: int) -> np.ndarray:
     p = r.shape[1]
     r_has, d_has = ~np.isnan(r), ~np.isnan(d)
     total = np.zeros((len(r), len(d)))
+    r_full, d_full = r_has.all(axis=0), d_has.all(axis=0)
     for j in range(p):
         gap = r[:, j, None] - d[None, :, j]
-        total += np.where(np.isnan(gap), 0.0, gap * gap)
-    shared = r_has.astype(float) @ d_has.T.astype(float)
-    out = np.where(shared > 0, total * (p / np.maximum(shared, 1.0)), np.inf)
+        gap *= gap
+        total += gap if r_full[j] and d_full[j] else np.nan_to_num(gap)
+    if r_full.all() and d_full.all():
+        out = total
+    else:
+        shared = r_has.astype(float) @ d_has.T.astype(float)
+        out = np.where(shared > 0, total * (p / np.maximum(shared, 1.0)), np.inf)
     if target != ANY:
         out[:, ~d_has[:, target]] = np.inf
     return out
@@ -182,21 +187,20 @@ def _bounds_kernel(p: int, k: int, exclude_self: bool):
 
 
 def _neighbours_kernel(p: int, k: int, exclude_self: bool):
-    """Per block pair: the k nearest donors of every receiver, ties to the lower donor id."""
+    """Per block pair: every donor as near as the k-th of its receiver, ties included; the ranking
+    over all blocks decides among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts = []
             for i in range(b.num_rows):
                 rid, did, donors, target, d2 = _block_distances(b, i, p, exclude_self)
-                by_id = np.argsort(did, kind="stable")
-                best = by_id[np.argsort(d2[:, by_id], axis=1, kind="stable")[:, :k]]
-                dist = np.take_along_axis(d2, best, axis=1)
-                ok = np.isfinite(dist)
-                values = donors[best, target] if target != ANY else np.zeros(best.shape)
-                parts.append((np.repeat(rid, best.shape[1])[ok.ravel()],
-                              np.full(int(ok.sum()), target, dtype=np.int32),
-                              did[best][ok], dist[ok], values[ok]))
+                near = np.isfinite(d2)
+                if d2.shape[1] > k:
+                    near &= d2 <= np.partition(d2, k - 1, axis=1)[:, k - 1 : k]
+                at, of = np.nonzero(near)
+                values = donors[of, target] if target != ANY else np.zeros(len(of))
+                parts.append((rid[at], np.full(len(at), target, dtype=np.int32), did[of], d2[at, of], values))
             if parts:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c)) for c in zip(*parts)],
