@@ -53,6 +53,12 @@ class Words:
     end: np.ndarray
     hash: np.ndarray
     text: np.ndarray  # text of each word, counted from `first`
+    gap: np.ndarray  # whether each byte is a separator
+    sums: np.ndarray  # running sums of the polynomial
+
+    def segment(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of any stretches of bytes."""
+        return mix((self.sums[end] - self.sums[start]) * _power_tables(len(self.data) + 1)[1][start])
 
     def per_text(self) -> np.ndarray:
         """Number of words of each text."""
@@ -95,7 +101,7 @@ def _cut(first: int, data: np.ndarray, bounds: np.ndarray) -> Words:
     n, size = len(bounds) - 1, len(data)
     if size == 0:
         none = np.empty(0, np.int64)
-        return Words(first, n, data, bounds, none, none, np.empty(0, np.uint64), none)
+        return Words(first, n, data, bounds, none, none, np.empty(0, np.uint64), none, np.empty(0, bool), np.zeros(1, np.uint64))
     gap = _SEPARATOR[data]
     before = np.empty(size, bool)
     before[0], before[1:] = True, gap[:-1]
@@ -112,7 +118,7 @@ def _cut(first: int, data: np.ndarray, bounds: np.ndarray) -> Words:
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:size], out=total[1:])
     h = mix((total[end] - total[start]) * inverse[start])
     text = np.searchsorted(bounds, start, "right") - 1
-    return Words(first, n, data, bounds, start, end, h, text)
+    return Words(first, n, data, bounds, start, end, h, text, gap, total)
 
 
 def distinct(text: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -31,3 +31,36 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(coalesce(sum(upto) FILTER (role = 'assistant'), 0)
     + CASE WHEN arg_max(role, pos) = 'assistant' THEN 0 ELSE max(upto) END AS BIGINT) AS formatted_chars
 FROM placed GROUP BY conv_id"""
+
+WARC = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS head FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND head IS NOT NULL AND head IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND head IS DISTINCT FROM page_id THEN head END AS refers_to
+FROM q"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Exact near-duplicate components: all pairs that share a shingle, then the reachable ids.
+NEAR = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+items AS MATERIALIZED (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM sets),
+often AS (SELECT h FROM items GROUP BY h HAVING count(*) > 1),
+few AS MATERIALIZED (SELECT * FROM items WHERE h IN (SELECT h FROM often)),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM few a JOIN few b ON a.h = b.h AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT a AS node, a AS top FROM both_ways
+  UNION
+  SELECT r.node, e.b FROM reached r JOIN both_ways e ON e.a = r.top)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(c.top, s.doc_id) AS component_id, coalesce(c.top, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN (SELECT node, min(top) AS top FROM reached GROUP BY node) c ON c.node = s.doc_id"""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 
-from tabloom.llm import chat, decontaminate, mixing, near_dedup, oracles, quality_classifier, secrets
+from tabloom.llm import (
+    chat, decontaminate, language_id, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, secrets, warc,
+)
 from tabloom.llm.common import table
 from tabloom.llm.registry import query
 
 
-@query("op8_minhash_near_dedup")
+@query("op8_minhash_near_dedup", oracles.NEAR)
 def op8(spark, sf):
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
 
@@ -40,3 +42,25 @@ def op2(spark, sf):
 @query("op6_mix_sources")
 def op6(spark, sf):
     return mixing.taken(table(spark, sf, "documents"))
+
+
+@query("op3_quality_rules")
+def op3(spark, sf):
+    """Trusted are the documents that the labels mark as good."""
+    trusted = table(spark, sf, "labels").where("quality = 1")
+    return quality_rules.judge(table(spark, sf, "documents"), trusted)
+
+
+@query("op5_personal_data")
+def op5(spark, sf):
+    return pii.report(table(spark, sf, "documents"))
+
+
+@query("op7_warc", oracles.WARC)
+def op7(spark, sf):
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
+@query("op10_language_id")
+def op10(spark, sf):
+    return language_id.identify(table(spark, sf, "pages"), table(spark, sf, "documents"))
