@@ -34,18 +34,18 @@ SMALL_WINDOWS = 200_000
 # Units that make a slot of their own after a number.
 UNITS = ("mm|cm|km|m|kg|mg|g|lb|oz|ml|l|s|ms|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|"
          "meters?|metres?|miles?|inch|inches|feet|ft|dollars?|euros?|cents?|usd|eur|percent|degrees?|mph|kmh|kb|mb|gb|tb|hz|w|kw|v")
-_NUMBER = "(?<![\\p{L}\\p{N}])[+-]?\\p{N}+(?:[.,:/]\\p{N}+)*"
+_LETTER = "[\\p{L}\\p{N}]"
+_NUMBER = f"(?<!{_LETTER})(\\p{{N}}++)(?:\\s*(?i:({UNITS}))(?!{_LETTER}))?(?!{_LETTER})"
 
 
 def tokens(text: Column) -> Column:
-    """Template words; a slot is # (number), ~ (unit) or @ (name) followed by its value."""
-    t = F.regexp_replace(text, "(?<=[\\p{Ll}\\p{N},;] )(\\p{Lu}[\\p{Ll}\\p{M}]+)", "@$1")
-    t = F.when(F.rlike(t, F.lit("\\p{N}")), F.regexp_replace(
-        F.regexp_replace(t, f"({_NUMBER})\\s*(?i:({UNITS}))(?![\\p{{L}}\\p{{N}}])", " #$1 ~$2 "),
-        f"(?<!#)({_NUMBER})(?![\\p{{L}}\\p{{N}}])", " #$1 ")).otherwise(t)
-    t = F.lower(t)
-    words = F.split(t, "[^\\p{L}\\p{M}\\p{N}#~@.,:/+-]+|(?<![#\\p{N}])[.,:/+-]+|[.,:/+-]+(?!\\p{N})", -1)
-    return F.filter(words, lambda w: w != "")
+    """Template words; a slot is # (number), ~ (unit) or @ (name) followed by its value. The parts of a
+    number around a point or comma are slots of their own."""
+    t = F.translate(text, "#~@", "   ")
+    t = F.regexp_replace(t, "(?<=[\\p{Ll}\\p{N},;] )(\\p{Lu}[\\p{Ll}\\p{M}]+)", "@$1")
+    t = F.when(F.rlike(t, F.lit("[0-9]")), F.regexp_replace(t, _NUMBER, " #$1 ~$2 ")).otherwise(t)
+    words = F.split(F.lower(t), "[^\\p{L}\\p{M}\\p{N}#~@]+", -1)
+    return F.filter(words, lambda w: ~w.isin("", "~"))
 
 
 def _template(words: Column) -> Column:

@@ -338,6 +338,6 @@ def keep_one(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """Rows of `docs` whose document stands for its group, with their columns."""
     found = near_duplicates(docs, size, percent).where("NOT kept AND doc_id IS NOT NULL") \
         .select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
+    return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")
 
 

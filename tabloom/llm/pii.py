@@ -103,7 +103,7 @@ def _votes(c: DataFrame) -> DataFrame:
         "length_class": F.when(size < 8, 0).when(size < 13, 1).when(size < 20, 2).otherwise(3)})
 
 
-def reliabilities(patterns: list[tuple[tuple[int, ...], bool, float]], rounds: int = 60) -> tuple[float, list[dict[int, list[float]]]]:
+def reliabilities(patterns: list[tuple[tuple[int, ...], bool, float]], rounds: int = 500) -> tuple[float, list[dict[int, list[float]]]]:
     """Expectation-maximisation over (votes, certain, count): the share of the positive class and, per
     labeler, P(vote | class) for class 0 and 1."""
     k = len(patterns[0][0])

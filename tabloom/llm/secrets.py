@@ -107,11 +107,12 @@ def report(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame) -> DataFrame:
     """Rows of `docs` with every reported span of the text replaced by its kind; n_chars is renewed where
     the text changed. Null texts stay null."""
-    found = scan(docs, keep=docs.columns)
-    text = F.when(F.col("text").isNull() | (F.size("_all") == 0), F.col("text")).otherwise(redact(F.col("_text"), F.col("_all")))
-    out = found.withColumn("_new", text)
-    chars = {"n_chars": F.when(F.size("_all") > 0, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} \
-        if "n_chars" in docs.columns else {}
-    return out.withColumns({**chars, "text": F.col("_new")}).select(*docs.columns)
-
-
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    found = scan(docs.select(row, "doc_id", "text"), keep=["_row"])
+    hit = F.size("_all") > 0
+    new = {"text": F.when(hit, redact(F.col("_text"), F.col("_all"))).otherwise(F.col("_row.text"))}
+    if "n_chars" in docs.columns:
+        chars = F.length("_new").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(hit, chars).otherwise(F.col("_row.n_chars"))
+    return found.withColumn("_new", new["text"]).select(
+        *[(F.col("_new") if c == "text" else new.get(c, F.col(f"_row.`{c}`"))).alias(c) for c in docs.columns])
