@@ -17,11 +17,13 @@ OTHER = "other"
 
 
 def categories(train: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Sorted non-null categories of every column."""
+    """Sorted non-null categories of every column; a column may have `MAX_CATEGORIES`, as each of them
+    becomes a column."""
     found = value_table(train, cols).where(F.col("value").isNotNull())
-    rows = found.select("column_name", "value").limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories; use target or freq encoding")
+    many = found.groupBy("column_name").count().where(F.col("count") > MAX_CATEGORIES).limit(1).collect()
+    if many:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {many[0]['column_name']}; use target or freq encoding")
+    rows = found.select("column_name", "value").collect()
     return {c: sorted(r["value"] for r in rows if r["column_name"] == c) for c in cols}
 
 
@@ -143,8 +145,10 @@ class Encoder(Stage):
             if missing:
                 raise ValueError(f"{method} encoding needs the columns {missing}")
             first = 1 if method == "hybrid" else 0
-            numbers["groups"] = categories(train, [group])[group]
             tables["codes"] = group_codes(train, group, value, first)
+            # one column is made per group, so the groups are few by their nature
+            found = value_table(train, [group]).where(F.col("value").isNotNull()).select("value").collect()
+            numbers["groups"] = sorted(r["value"] for r in found)
             return EncoderModel(numbers, tables)
         cols = self.get("columns")
         if cols is None:

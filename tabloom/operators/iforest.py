@@ -130,5 +130,7 @@ class IsolationForestModel(StateModel):
         return scored(F.when(~any_null(cols), packed))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        kept = df.withColumn("__score", self.score()).where(F.col("__score") >= self.numbers["cut"])
+        """Rows with a missing model column cannot be scored and stay."""
+        scored = df.withColumn("__score", self.score())
+        kept = scored.where(F.col("__score").isNull() | F.isnan("__score") | (F.col("__score") >= self.numbers["cut"]))
         return kept.drop("__score")

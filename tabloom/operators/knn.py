@@ -305,8 +305,9 @@ class KnnImputerModel(StateModel):
         wide = found.groupBy(F.col("id").alias("__id")).agg(*[
             F.avg(F.when(F.col("target") == j, F.col("value"))).alias(f"__f{j}") for j in range(len(cols))
         ])
+        wide = materialize(wide, "fills")  # later fits scan the result often; the search runs once
         filled = work.join(wide, col(key).cast("bigint") == F.col("__id"), "left")
-        no_donor = {c: F.lit(0.0) if group is not None else F.lit(means[c][0]) for c in cols}
+        no_donor = {c: F.lit(0.0) if group is not None else F.lit(means[c][0] if c in means else None).cast("double") for c in cols}
         new = {c: F.coalesce(col(c).cast("double"), F.col(f"__f{j}"), no_donor[c]) for j, c in enumerate(cols)}
         filled = filled.select(*replace(df, new))
         if group is not None:

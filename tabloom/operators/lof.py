@@ -60,6 +60,7 @@ class LofModel(StateModel):
         return _factor(found, _density(found, state), state)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        kept = self.scores(df).where(F.col("score") >= self.numbers["cut"])
-        keys = kept.select(F.col("id").alias(self.numbers["key"]))
-        return df.join(keys, self.numbers["key"], "left_semi")
+        """Rows with a missing model column cannot be scored and stay."""
+        gone = self.scores(df).where(F.col("score") < self.numbers["cut"])
+        keys = materialize(gone.select(F.col("id").alias(self.numbers["key"])), "outliers")
+        return df.join(keys, self.numbers["key"], "left_anti")

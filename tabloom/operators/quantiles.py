@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.storage import materialize
+
 DIRECT_ROWS = 200_000
 FINAL_ROWS = 50_000
 ACCURACY = 10_000
@@ -45,8 +47,10 @@ class _Rank:
         return keep
 
 
-def interpolate(low: float, high: float, fraction: float) -> float:
-    return low if fraction == 0 or low == high else low + (high - low) * fraction
+def interpolate(low: float, high: float, at: float) -> float:
+    """Value at the fractional rank `at` between its neighbours, by the formula of Spark's `percentile`."""
+    below, above = math.floor(at), math.ceil(at)
+    return low if below == above or low == high else (above - at) * low + (at - below) * high
 
 
 def exact_quantiles(
@@ -75,7 +79,8 @@ def exact_quantiles(
             at = (counts[c] - 1) * p
             for rank in (math.floor(at), math.ceil(at)):
                 wanted.setdefault((i, rank), _Rank(i, rank, counts[c], slack=2.0 / accuracy))
-    _narrow(data, cols, list(wanted.values()), final_rows, accuracy)
+    # several scans follow: stage the numbers alone, not the plan that made them
+    _narrow(materialize(data, "quantiles"), cols, list(wanted.values()), final_rows, accuracy)
 
     out = {}
     for i, (n, c) in enumerate(zip(names, cols)):
@@ -84,8 +89,7 @@ def exact_quantiles(
             continue
         at = [(counts[c] - 1) * p for p in probs]
         out[n] = [
-            interpolate(wanted[i, math.floor(a)].value, wanted[i, math.ceil(a)].value, a - math.floor(a))
-            for a in at
+            interpolate(wanted[i, math.floor(a)].value, wanted[i, math.ceil(a)].value, a) for a in at
         ]
     return out
 
@@ -115,7 +119,7 @@ def _narrow(data, cols, ranks: list[_Rank], final_rows: int, accuracy: int) -> N
             kinds = [c < low, c == low, (c > low) & (c < high), c == high]
             aggs += [F.count_if(k).alias(f"n{j}_{i}") for i, k in enumerate(kinds)]
         n = data.agg(*aggs).first()
-        still = []
+        still, few = [], []
         for j, (r, (low, high)) in enumerate(zip(open_ranks, bracket)):
             under, at_low, between, at_high = (n[f"n{j}_{i}"] for i in range(4))
             if not under <= r.rank < under + at_low + between + at_high:
@@ -127,22 +131,29 @@ def _narrow(data, cols, ranks: list[_Rank], final_rows: int, accuracy: int) -> N
                 r.value = high
             else:
                 r.low, r.high, r.below, r.inside = low, high, under + at_low, between
-                if between <= final_rows:
-                    r.value = _pick(data, cols[r.col], r)
-                else:
-                    still.append(r)
+                (few if between <= final_rows else still).append(r)
+        if few:
+            _pick(data, cols, few)
         open_ranks = still
 
 
-def _pick(data: DataFrame, col: str, r: _Rank) -> float:
-    """Read the few distinct values of the bracket and step to the wanted rank."""
-    few = data.where(r.window(F.col(col))).groupBy(col).count().collect()
-    seen = r.below
-    for value, n in sorted((v[0], v[1]) for v in few):
-        seen += n
-        if r.rank < seen:
-            return value
-    raise ArithmeticError("rank outside its bracket")
+def _pick(data: DataFrame, cols: list[str], ranks: list[_Rank]) -> None:
+    """Read the few distinct values of all finished brackets in one job and step to the wanted ranks."""
+    held = [F.when(r.window(F.col(cols[r.col])), F.struct(F.lit(j).alias("rank"), F.col(cols[r.col]).alias("value")))
+            for j, r in enumerate(ranks)]
+    rows = data.select(F.explode(F.array_compact(F.array(*held))).alias("h")).groupBy("h.rank", "h.value").count().collect()
+    by_rank: dict[int, list] = {}
+    for row in rows:
+        by_rank.setdefault(row["rank"], []).append((row["value"], row["count"]))
+    for j, r in enumerate(ranks):
+        seen = r.below
+        for value, n in sorted(by_rank.get(j, [])):
+            seen += n
+            if r.rank < seen:
+                r.value = value
+                break
+        else:
+            raise ArithmeticError("rank outside its bracket")
 
 
 def columns_of(cols: list[str]) -> dict[str, Column]:

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.param import TypeConverters as TC
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.functions.chi2 import p_value
-from tabloom.operators import linear
+from tabloom.operators import forest, linear
 from tabloom.operators.distributions import correlation_matrix, safe_corr
 from tabloom.operators.gram import moments
 from tabloom.operators.profile import col, stacked
 from tabloom.operators.split import shuffle_code
 from tabloom.operators.state import Stage, StateModel, one_of, param
+from tabloom.storage import materialize
 
 
 def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7) -> DataFrame:
@@ -202,15 +203,9 @@ def assembled(df: DataFrame, cols: list[str], label: str, as_class: bool = False
     return StringIndexer(inputCol="__class", outputCol="label").fit(out).transform(out).select("features", "label")
 
 
-def _estimator(model_name: str, model_type: str, n: int, seed: int, depth: int):
-    """The four models behind the `model` and `rfe` methods. The logistic penalty is one over the
+def _estimator(model_type: str, n: int):
+    """The linear models behind the `model` and `rfe` methods. The logistic penalty is one over the
     number of rows, which equals a unit penalty on the summed loss."""
-    if model_type not in ("classifier", "regressor") or model_name not in ("rf", "linear"):
-        raise ValueError(f"unknown model: {model_name} ({model_type})")
-    if model_name == "rf":
-        kind = RandomForestClassifier if model_type == "classifier" else RandomForestRegressor
-        return kind(numTrees=100, maxDepth=depth, seed=seed, maxMemoryInMB=512,
-                    featureSubsetStrategy="sqrt" if model_type == "classifier" else "all")
     if model_type == "classifier":
         return LogisticRegression(maxIter=500, regParam=1.0 / max(n, 1), standardization=False)
     return LinearRegression(regParam=0.0, solver="normal")
@@ -218,25 +213,27 @@ def _estimator(model_name: str, model_type: str, n: int, seed: int, depth: int):
 
 def model_importance(
     df: DataFrame, cols: list[str], label: str, model_name: str, model_type: str, seed: int = 42,
-    depth: int = 30,
+    depth: int = 0, squared: bool = False,
 ) -> np.ndarray:
-    """Absolute importance per column: impurity decrease, or the coefficient (its largest size over
-    the classes when there are several)."""
-    data = assembled(df, cols, label, model_type == "classifier").persist()
-    try:
-        fitted = _estimator(model_name, model_type, data.count(), seed, depth).fit(data)
-    finally:
-        data.unpersist()
+    """Importance per column: impurity decrease, or the absolute coefficient. For several classes that
+    is its largest size over the classes, or with `squared`, the rule of elimination, the sum of squares."""
+    classes = model_type == "classifier"
+    if model_type not in ("classifier", "regressor") or model_name not in ("rf", "linear"):
+        raise ValueError(f"unknown model: {model_name} ({model_type})")
     if model_name == "rf":
-        return np.abs(fitted.featureImportances.toArray())
+        growth = forest.Growth(trees=100, depth=depth, seed=seed, columns="sqrt" if classes else "all")
+        return forest.fit(df, cols, label, growth, classes).importances()
+    data = materialize(assembled(df, cols, label, classes), "assembled")
+    fitted = _estimator(model_type, data.count()).fit(data)
     if model_type == "classifier":
-        return np.abs(fitted.coefficientMatrix.toArray()).max(axis=0)
+        sizes = np.abs(fitted.coefficientMatrix.toArray())
+        return (sizes ** 2).sum(axis=0) if squared else sizes.max(axis=0)
     return np.abs(fitted.coefficients.toArray())
 
 
 def top_by_model(
     df: DataFrame, cols: list[str], label: str, k: int, model_name: str, model_type: str, seed: int = 42,
-    depth: int = 30,
+    depth: int = 0,
 ) -> DataFrame:
     """(feature, score, kept) by model importance."""
     scores = model_importance(df, cols, label, model_name, model_type, seed, depth)
@@ -246,7 +243,7 @@ def top_by_model(
 
 def rfe_by_model(
     df: DataFrame, cols: list[str], label: str, keep: int | None, model_name: str, model_type: str,
-    seed: int = 42, depth: int = 30,
+    seed: int = 42, depth: int = 0,
 ) -> list[str]:
     """Columns left after dropping the least important one per fit; half of them by default."""
     keep = max(1, len(cols) // 2) if keep is None else keep
@@ -256,7 +253,7 @@ def rfe_by_model(
         path = linear.elimination_path(m, m)
         return [cols[i] for i in next(k for k, _, _ in path if len(k) <= max(keep, 1))]
     while len(left) > keep:
-        left.pop(int(np.argmin(model_importance(df, left, label, model_name, model_type, seed, depth))))
+        left.pop(int(np.argmin(model_importance(df, left, label, model_name, model_type, seed, depth, True))))
     return left
 
 
@@ -273,9 +270,9 @@ class FeatureSelection(Stage):
     modelName = param("modelName", "rf or linear", one_of("rf", "linear"))
     nFeatures = param("nFeatures", "columns kept by rfe", TC.toInt)
     seed = param("seed", "seed of the forests", TC.toInt)
-    depth = param("depth", "depth of the forests", TC.toInt)
+    depth = param("depth", "most levels of the forests, 0 for no limit", TC.toInt)
     DEFAULTS = dict(method="variance", threshold=0.0, k=10, scoreFunc="f_classif",
-                    modelType="classifier", modelName="rf", seed=42, depth=30, label="price")
+                    modelType="classifier", modelName="rf", seed=42, depth=0, label="price")
 
     def _fit(self, train: DataFrame) -> "SelectedModel":
         method, cols, label = self.get("method"), self.get("columns"), self.get("label")

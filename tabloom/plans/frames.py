@@ -11,7 +11,6 @@ from tabloom.operators import cleaning, split
 from tabloom.operators.categories import infer_from
 from tabloom.plans.sqltext import DIGITS
 from tabloom.sources.cars import KEY, cars
-from tabloom.storage import materialize
 
 # Brand names of the derived car table.
 CAR_BRANDS = ["africa", "america", "asia", "europe", "middle east"]
@@ -28,10 +27,8 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 def mapped(spark: SparkSession, sf: str) -> DataFrame:
-    """Numbers and categories cleaned, brand not inferred yet; a stage table, as every later step
-    reads it more than once."""
-    df = cleaning.clean_categories(cleaning.clean_numbers(cars(spark, sf), RULES), RULES)
-    return materialize(df, "mapped")
+    """Numbers and categories cleaned, brand not inferred yet; lazy, so each query scans what it needs."""
+    return cleaning.clean_categories(cleaning.clean_numbers(cars(spark, sf), RULES), RULES)
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
