@@ -4,7 +4,7 @@ from importlib import import_module
 
 GROUPS = [
     "profiling", "cleaning_queries", "aggregate_queries", "imputation_queries", "outlier_queries",
-    "encoding_queries", "selection_queries", "model_queries",
+    "encoding_queries", "selection_queries", "model_queries", "sink_queries",
 ]
 
 

@@ -219,3 +219,19 @@ def rfe_model(spark, sf):
     data = materialize(filled(spark, sf), "filled")
     stage = S.FeatureSelection(method="rfe", columns=METRIC, label="brand", modelName="linear", modelType="classifier")
     return stage.fit(data).transform(data)
+
+
+@query("rfe_model_linear")
+def rfe_model_linear(spark, sf):
+    """Columns left by eliminating around the linear model."""
+    data = materialize(filled(spark, sf), "filled")
+    stage = S.FeatureSelection(method="rfe", columns=METRIC, label=LABEL, modelName="linear", modelType="regressor")
+    return stage.fit(data).transform(data)
+
+
+@query("rfe_model_forest")
+def rfe_model_forest(spark, sf):
+    """Columns left by eliminating around the forest."""
+    data = materialize(filled(spark, sf), "filled")
+    stage = S.FeatureSelection(method="rfe", columns=METRIC, label=LABEL, modelName="rf", modelType="regressor")
+    return stage.fit(data).transform(data)
