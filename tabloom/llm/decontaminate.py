@@ -8,7 +8,7 @@ numbers or names is caught, and a chance agreement of shapes is not. A document
 item when consistent windows cover at least `share` of the item's windows.
 
 The documents' windows are tested in their row against a bit table of the benchmark's window hashes
-(`TABLE` flags, a fixed size), and only survivors leave the row; the join itself then sees few rows and
+(`TABLE` bits, a fixed size), and only survivors leave the row; the join itself then sees few rows and
 decides exactly. A larger benchmark fills the table and only makes the test less selective.
 
 Defined results: null and empty texts have no window and are clean; an item shorter than `window` words
@@ -58,10 +58,15 @@ def _pattern(words: Column) -> Column:
     return F.transform(slots, lambda s: F.array_position(slots, s))
 
 
-def _windows(words: Column, template: Column, size: Column) -> Column:
-    starts = F.sequence(F.lit(1), F.size(template) - size + 1)
-    return F.when(F.size(template) >= size, F.transform(starts, lambda i: F.struct(
-        i.alias("at"), F.xxhash64(F.slice(template, i, size)).alias("hash"), F.slice(words, i, size).alias("words"))))
+def _word_hashes(template: Column) -> Column:
+    return F.transform(template, lambda w: F.xxhash64(w))
+
+
+def _window_hashes(hashes: Column, size: Column | int) -> Column:
+    """Hash of each window of `size` template words; null if there is none."""
+    size = F.lit(size) if isinstance(size, int) else size
+    starts = F.sequence(F.lit(1), F.size(hashes) - size + 1)
+    return F.when(F.size(hashes) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, size))))
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -69,37 +74,45 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     cut = items.select("item_id", tokens(whole()).alias("words")).distinct() \
         .withColumn("template", _template(F.col("words"))) \
         .withColumn("size", F.least(F.lit(window), F.size("words"))).where(F.col("size") >= min(LEAST_WORDS, window))
-    return cut.withColumn("windows", _windows(F.col("words"), F.col("template"), F.col("size"))) \
-        .select("item_id", "size", F.size("windows").alias("of"), F.explode("windows").alias("w")) \
-        .select("w.hash", "size", "item_id", F.col("w.at").alias("at"), "of", F.col("w.words").alias("item_words"))
+    return cut.withColumn("hashes", _window_hashes(_word_hashes(F.col("template")), F.col("size"))) \
+        .select("item_id", "size", "words", F.size("hashes").alias("of"), F.posexplode("hashes").alias("at", "hash")) \
+        .select("hash", "size", "item_id", "at", "of", F.slice("words", F.col("at") + 1, F.col("size")).alias("item_words"))
 
 
-def _flags(windows: DataFrame) -> dict[int, bytes]:
-    """For each window size, one byte per slot of the table: 1 where some item's window falls. At most
+def _bits(windows: DataFrame) -> dict[int, bytes]:
+    """For each window size a bit per slot of the table, set where some item's window falls. At most
     TABLE positions per size, and `WINDOW - LEAST_WORDS + 1` sizes, come to the driver."""
     found: dict[int, bytearray] = {}
     for r in windows.select("size", F.pmod("hash", F.lit(TABLE)).cast("int").alias("slot")).distinct().collect():
-        found.setdefault(r["size"], bytearray(TABLE))[r["slot"]] = 1
+        found.setdefault(r["size"], bytearray(TABLE // 8))[r["slot"] >> 3] |= 1 << (r["slot"] & 7)
     return {k: bytes(v) for k, v in found.items()}
 
 
+def _is_set(bits: bytes, value: Column) -> Column:
+    """Whether the hash's bit is set. Most bytes are zero, so most tests end at the first comparison."""
+    slot = F.pmod(value, F.lit(TABLE)).cast("int")
+    byte = F.substring(F.lit(bits), F.shiftright(slot, 3) + 1, F.lit(1))
+    number = F.conv(F.hex(byte), 16, 10).cast("int")
+    return (byte != F.lit(b"\x00")) & (F.getbit(number, slot.bitwiseAND(F.lit(7))) == 1)
+
+
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """_id, _hash (of the text), item_id, windows of the item matched consistently, and of how many."""
     bench = benchmark_windows(items, window)
-    flags = _flags(bench)
+    bits = _bits(bench)
     rows = docs.select(F.col("doc_id").alias("_id"), whole().alias("_text")) \
         .select("_id", F.xxhash64("_text").alias("_hash"), tokens(F.col("_text")).alias("words")) \
-        .withColumn("template", _template(F.col("words")))
+        .withColumn("word_hashes", _word_hashes(_template(F.col("words")))) \
+        .withColumns({f"hashes{k}": _window_hashes(F.col("word_hashes"), k) for k in bits})
 
     def survivors(size: int, table: bytes) -> Column:
-        hit = F.filter(F.sequence(F.lit(1), F.size("template") - size + 1), lambda i: F.substring(
-            F.lit(table), (F.pmod(F.xxhash64(F.slice("template", i, size)), F.lit(TABLE)) + 1).cast("int"), F.lit(1)) == F.lit(b"\x01"))
-        return F.when(F.size("template") >= size, F.transform(hit, lambda i: F.struct(
-            F.lit(size).alias("size"), i.alias("at"), F.xxhash64(F.slice("template", i, size)).alias("hash"),
-            F.slice("words", i, size).alias("words"))))
-
-    none = F.array().cast("array<struct<size:int,at:int,hash:bigint,words:array<string>>>")
-    kept = F.concat(none, *[F.coalesce(survivors(k, v), none) for k, v in sorted(flags.items())])
+        hashes = F.col(f"hashes{size}")
+        hit = F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: _is_set(table, hashes[i]))
+        return F.when(F.size(hashes) > 0, F.transform(hit, lambda i: F.struct(
+            F.lit(size).alias("size"), hashes[i].alias("hash"), F.slice("words", i + 1, F.lit(size)).alias("words"))))
+
+    none = F.array().cast("array<struct<size:int,hash:bigint,words:array<string>>>")
+    kept = F.concat(none, *[F.coalesce(survivors(k, v), none) for k, v in sorted(bits.items())])
     seen = rows.select("_id", "_hash", F.explode(kept).alias("w")).select("_id", "_hash", "w.hash", "w.size", "w.words")
     if bench.limit(SMALL_WINDOWS).count() < SMALL_WINDOWS:  # checked size; otherwise a shuffle join
         bench = F.broadcast(bench)
