@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import whole
+from tabloom.storage import materialize
 
 WINDOW = 8
 LEAST_WORDS = 5
@@ -126,8 +127,9 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE, window
     """_id, _hash, n_items, item_id (the one covered best, then the smallest) of contaminated texts."""
     hit = matches(docs, items, window).where(F.col("matched") >= share * F.col("of"))
     best = F.min(F.struct((-F.col("matched") / F.col("of")).alias("c"), "item_id", "matched", "of"))
-    return hit.groupBy("_id", "_hash").agg(F.count(F.lit(1)).alias("n_items"), best.alias("best")) \
+    found = hit.groupBy("_id", "_hash").agg(F.count(F.lit(1)).alias("n_items"), best.alias("best")) \
         .select("_id", "_hash", "n_items", "best.item_id", "best.matched", "best.of")
+    return materialize(found, "contaminated")  # its size is known to later joins: few hits move no texts
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:

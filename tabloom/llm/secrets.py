@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.common import whole
 from tabloom.llm.spans import kind_count, labelled, matches, redact, written
+from tabloom.storage import materialize
 
 REACH = 300
 # The base patterns.
@@ -69,6 +70,7 @@ def scan(docs: DataFrame, reach: int = REACH, keep: list[str] | None = None) ->
         .withColumn("_hash", F.xxhash64("_text"))
     linked = _linked(rows.where("size(_weak) > 0 AND size(_base) + size(_weak) > 1")
                      .select("_id", "_hash", F.concat("_base", "_weak").alias("_parts")), reach)
+    linked = materialize(linked, "linked")  # its size is known to the join: few links move no texts
     joined = rows.join(linked, rows["_id"].eqNullSafe(linked["_lid"]) & (rows["_hash"] == linked["_lhash"]), "left")
     return joined.select(*keep, "_text", "_base", F.when(
         F.col("_found").isNull(), F.col("_base")).otherwise(F.concat("_base", "_found")).alias("_all"))
