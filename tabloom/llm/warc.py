@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import salted_lookup
-from tabloom.storage import new_path
+from tabloom.storage import materialize, new_path
 
 LEAST_REVISIT = 1000
 ARCHIVE_BYTES = 16 << 20
@@ -49,6 +49,7 @@ def marked(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     heads = rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest") \
         .agg(F.max("page_id").alias("head"), F.count(F.lit(1)).alias("copies")) \
         .where("copies > 1 AND head IS NOT NULL").drop("copies")
+    heads = materialize(heads, "heads")  # its size is known to the join: few repeats move no payloads
     found = salted_lookup(rows, heads, "payload_digest", F.col("page_id"))
     other = F.col("head").isNotNull() & ~F.col("head").eqNullSafe(F.col("page_id"))
     return found.select("page_id", "url", "payload", "payload_bytes", "payload_digest",
@@ -131,7 +132,7 @@ def write(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> i
 
     order = ["page_id", "payload_digest", "url"]
     sorted_rows = rows.select("page_id", "url", "payload", "payload_digest", "record_type", "refers_to") \
-        .repartition(F.col("page_id"), F.col("payload_digest")).sortWithinPartitions(*order)
+        .sortWithinPartitions(*order)
     return sorted_rows.mapInArrow(run, "records long").agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
 
 
