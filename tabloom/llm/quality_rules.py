@@ -65,7 +65,8 @@ def _counts(docs: DataFrame, s: Settings) -> np.ndarray:
 def ratios(docs: DataFrame, trusted: DataFrame, s: Settings = Settings()) -> np.ndarray:
     """Log ratio of each bucket's share in the trusted documents (ids in `trusted`) and in all documents."""
     ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    target = _counts(docs.join(ids, "doc_id", "left_semi"), s)
+    # both sides grow with the data: always a shuffle, never a broadcast that only small tables allow
+    target = _counts(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"), s)
     raw = _counts(docs, s)
     if target.sum() == 0:
         return np.zeros(1 << s.bits, np.float32)
