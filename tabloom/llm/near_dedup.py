@@ -338,7 +338,6 @@ def keep_one(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """Rows of `docs` whose document stands for its group, with their columns."""
     found = near_duplicates(docs, size, percent).where("NOT kept AND doc_id IS NOT NULL") \
         .select(F.col("doc_id").alias("_gone")).distinct()
-    found = materialize(found, "gone")  # its size is known to the join
-    return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")
+    return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")  # copies are many: a shuffle join
 
 
