@@ -1,7 +1,9 @@
 """Benchmark decontamination by templates. DataFrame functions only.
 
-Numbers, units after numbers, and names (capitalised words inside a sentence) become typed slots, each
-with its value; all else becomes lower-case words without punctuation. Windows of `window` template words
+Numbers, units after numbers, and names become typed slots, each with its value; all else becomes
+lower-case words without punctuation. A name is a capitalised word that is no function word (`FUNCTION`);
+at the start of a sentence, a line, a quote or a bracket it must not be a word that the benchmark mostly
+writes in lower case either (counted once, held as a bit table of fixed size). Windows of `window` template words
 of documents and benchmark items are joined by hash. A matching pair of windows counts only if its slots
 are consistent: equal values of one window stand for equal values of the other, so a question with other
 numbers or names is caught, and a chance agreement of shapes is not. A document is contaminated by an
@@ -31,24 +33,62 @@ SHARE = 0.5
 TABLE = 1 << 20
 #: Benchmark windows that may be broadcast: fewer than this many rows of about 200 bytes.
 SMALL_WINDOWS = 200_000
+#: Bits of the table of ordinary words, and bits set per word: 30,000 words let one name in 1,500 look ordinary.
+ORDINARY, PROBES = 1 << 20, 3
 
 # Units that make a slot of their own after a number.
 UNITS = ("mm|cm|km|m|kg|mg|g|lb|oz|ml|l|s|ms|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|"
          "meters?|metres?|miles?|inch|inches|feet|ft|dollars?|euros?|cents?|usd|eur|percent|degrees?|mph|kmh|kb|mb|gb|tb|hz|w|kw|v")
 _LETTER = "[\\p{L}\\p{N}]"
+# Words that are never a name, wherever they have a capital.
+FUNCTION = ("The|An|This|That|These|Those|It|Its|He|His|Him|She|Her|Hers|We|Us|Our|They|Them|Their|You|Your|My|Me|"
+            "What|Which|Who|Whom|Whose|When|Where|Why|How|If|Then|Than|Else|And|Or|But|Nor|So|Yet|As|At|By|For|From|In|Into|"
+            "Of|Off|On|Onto|Out|Over|Under|To|Up|With|Without|After|Before|Because|Since|Until|While|Although|Though|Also|"
+            "Is|Are|Was|Were|Be|Been|Being|Do|Does|Did|Has|Have|Had|Can|Could|Should|Would|Shall|Must|Might|Not|No|Yes|"
+            "There|Here|All|Any|Both|Each|Every|Few|Some|Many|Much|Most|More|Other|Such|Only|However|Therefore|During|Between")
+_NAME = f"(?!(?:{FUNCTION})(?![\\p{{L}}\\p{{M}}\\p{{N}}]))(\\p{{Lu}}[\\p{{Ll}}\\p{{M}}]+)"
 _NUMBER = f"(?<!{_LETTER})(\\p{{N}}++)(?:\\s*(?i:({UNITS}))(?!{_LETTER}))?(?!{_LETTER})"
 
 
-def tokens(text: Column) -> Column:
-    """Template words; a slot is # (number), ~ (unit) or @ (name) followed by its value. The parts of a
-    number around a point or comma are slots of their own."""
-    t = F.translate(text, "#~@", "   ")
-    t = F.regexp_replace(t, "(?<=[\\p{Ll}\\p{N},;] )(\\p{Lu}[\\p{Ll}\\p{M}]+)", "@$1")
+def _marked(text: Column, first: str) -> Column:
+    """Words with their marks; `first` marks a capitalised word that is not inside a sentence."""
+    t = F.translate(text, "#~@^", "    ")
+    t = F.regexp_replace(t, f"(?=\\p{{Lu}})(?<=[\\p{{Ll}}\\p{{N}},;] ){_NAME}", "@$1")
+    t = F.regexp_replace(t, f"(?=\\p{{Lu}})(?<![\\p{{L}}\\p{{M}}\\p{{N}}@]){_NAME}", f"{first}$1")
     t = F.when(F.rlike(t, F.lit("[0-9]")), F.regexp_replace(t, _NUMBER, " #$1 ~$2 ")).otherwise(t)
-    words = F.split(F.lower(t), "[^\\p{L}\\p{M}\\p{N}#~@]+", -1)
+    words = F.split(F.lower(t), "[^\\p{L}\\p{M}\\p{N}#~@^]+", -1)
     return F.filter(words, lambda w: ~w.isin("", "~"))
 
 
+def tokens(text: Column, ordinary: bytes | None = None) -> Column:
+    """Template words; a slot is # (number), ~ (unit) or @ (name) followed by its value. The parts of a
+    number around a point or comma are slots of their own. `ordinary` is the table of `ordinary_words`."""
+    if ordinary is None:
+        return _marked(text, "@")
+
+    def settled(w: Column) -> Column:
+        word = F.substring(w, 2, 1 << 30)
+        usual = _is_set(ordinary, F.xxhash64(word, F.lit(0)), ORDINARY)
+        for k in range(1, PROBES):
+            usual &= _is_set(ordinary, F.xxhash64(word, F.lit(k)), ORDINARY)
+        return F.when(F.ascii(w) != 94, w).when(usual, word).otherwise(F.concat(F.lit("@"), word))
+
+    return F.transform(_marked(text, "^"), settled)
+
+
+def ordinary_words(items: DataFrame) -> bytes | None:
+    """Bit table of the words that the benchmark writes in lower case more often than with a capital
+    inside a sentence; None if there are none. At most ORDINARY positions come to the driver."""
+    words = items.select(F.explode(_marked(whole(), "^")).alias("w")).where(~F.ascii("w").isin(35, 126, 94))
+    name = F.ascii("w") == 64
+    usual = words.groupBy(F.ltrim("w", F.lit("@")).alias("word")).agg(F.sum(F.when(name, -1).otherwise(1)).alias("n")).where("n > 0")
+    slots = F.explode(F.array(*[F.pmod(F.xxhash64("word", F.lit(k)), F.lit(ORDINARY)).cast("int") for k in range(PROBES)]))
+    table = bytearray(ORDINARY // 8)
+    for r in usual.select(slots.alias("slot")).distinct().collect():
+        table[r["slot"] >> 3] |= 1 << (r["slot"] & 7)
+    return bytes(table) if any(table) else None
+
+
 def _template(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(F.ascii(w).isin(35, 64, 126), F.substring(w, 1, 1)).otherwise(w))
 
@@ -70,9 +110,9 @@ def _window_hashes(hashes: Column, size: Column | int) -> Column:
     return F.when(F.size(hashes) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, size))))
 
 
-def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+def benchmark_windows(items: DataFrame, window: int = WINDOW, ordinary: bytes | None = None) -> DataFrame:
     """hash, size, item_id, at, of (windows of the item), words: one row per window."""
-    cut = items.select("item_id", tokens(whole()).alias("words")).distinct() \
+    cut = items.select("item_id", tokens(whole(), ordinary).alias("words")).distinct() \
         .withColumn("template", _template(F.col("words"))) \
         .withColumn("size", F.least(F.lit(window), F.size("words"))).where(F.col("size") >= min(LEAST_WORDS, window))
     return cut.withColumn("hashes", _window_hashes(_word_hashes(F.col("template")), F.col("size"))) \
@@ -89,9 +129,9 @@ def _bits(windows: DataFrame) -> dict[int, bytes]:
     return {k: bytes(v) for k, v in found.items()}
 
 
-def _is_set(bits: bytes, value: Column) -> Column:
+def _is_set(bits: bytes, value: Column, size: int | None = None) -> Column:
     """Whether the hash's bit is set. Most bytes are zero, so most tests end at the first comparison."""
-    slot = F.pmod(value, F.lit(TABLE)).cast("int")
+    slot = F.pmod(value, F.lit(size or TABLE)).cast("int")
     byte = F.substring(F.lit(bits), F.shiftright(slot, 3) + 1, F.lit(1))
     number = F.conv(F.hex(byte), 16, 10).cast("int")
     return (byte != F.lit(b"\x00")) & (F.getbit(number, slot.bitwiseAND(F.lit(7))) == 1)
@@ -99,10 +139,11 @@ def _is_set(bits: bytes, value: Column) -> Column:
 
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """_id, _hash (of the text), item_id, windows of the item matched consistently, and of how many."""
-    bench = benchmark_windows(items, window)
+    ordinary = ordinary_words(items)
+    bench = benchmark_windows(items, window, ordinary)
     bits = _bits(bench)
     rows = docs.select(F.col("doc_id").alias("_id"), whole().alias("_text")) \
-        .select("_id", F.xxhash64("_text").alias("_hash"), tokens(F.col("_text")).alias("words")) \
+        .select("_id", F.xxhash64("_text").alias("_hash"), tokens(F.col("_text"), ordinary).alias("words")) \
         .withColumn("word_hashes", _word_hashes(_template(F.col("words")))) \
         .withColumns({f"hashes{k}": _window_hashes(F.col("word_hashes"), k) for k in bits})
 

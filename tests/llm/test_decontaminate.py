@@ -88,3 +88,26 @@ def test_edges(spark, docs, no_docs):
     assert d.report(no_docs, bench).collect() == [] and d.report(docs, none).where("contaminated").count() == 0
     kept = d.clean(docs, bench)
     assert kept.columns == docs.columns and rows_of(kept, *docs.columns) == rows_of(docs, *docs.columns)
+
+
+def test_names_that_start_a_sentence(spark):
+    items = [
+        (1, "Natalia sold 48 clips in April. Natalia sold half as many clips in May. How many clips did Natalia sell in all?"),
+        (2, "Maria met Peter at noon. Maria gave him 3 books. Peter read one of them and Maria read the other two."),
+        (3, "\"Omar has 7 red marbles and 2 blue ones,\" said Lea.\nOmar lost 3 of the red marbles in the park."),
+        (4, "Marbles are round toys. The marbles roll down the long hill and the marbles stop there."),
+    ]
+    got = run(spark, [
+        FILL + items[0][1].replace("Natalia", "Alice").replace("48", "30") + " " + FILL,
+        FILL + items[1][1].replace("Maria", "Alice").replace("Peter", "Bob") + "\n" + FILL,
+        FILL + "\n" + items[2][1].replace("Omar", "Carl").replace("Lea", "Ina"),
+        FILL + "Maria sold 48 clips in April. Peter sold half as few pens last May. How may one sell in all?",
+    ], items)
+    assert [got[i] for i in range(4)] == [(True, 1), (True, 2), (True, 3), (False, None)]
+
+
+def test_ordinary_words_that_start_a_sentence_are_no_names(spark):
+    bench = spark.createDataFrame([(1, "Marbles roll. The marbles stop when Omar calls. Omar runs.")], "item_id long, text string")
+    table = d.ordinary_words(bench)
+    words = bench.select(d.tokens(bench["text"], table).alias("w")).first()["w"]
+    assert words == ["marbles", "roll", "the", "marbles", "stop", "when", "@omar", "calls", "@omar", "runs"]
