@@ -6,7 +6,9 @@ at the start of a sentence, a line, a quote or a bracket it must not be a word t
 writes in lower case either (counted once, held as a bit table of fixed size). Windows of `window` template words
 of documents and benchmark items are joined by hash. A matching pair of windows counts only if its slots
 are consistent: equal values of one window stand for equal values of the other, so a question with other
-numbers or names is caught, and a chance agreement of shapes is not. A document is contaminated by an
+numbers or names is caught, and a chance agreement of shapes is not. Each window with names has a plain
+form next to it, with the names as lower-case words; either form may match, so a copy is found whatever
+its letter case and whatever stands before it. A document is contaminated by an
 item when consistent windows cover at least `share` of the item's windows.
 
 The documents' windows are tested in their row against a bit table of the benchmark's window hashes
@@ -68,9 +70,8 @@ def tokens(text: Column, ordinary: bytes | None = None) -> Column:
 
     def settled(w: Column) -> Column:
         word = F.substring(w, 2, 1 << 30)
-        usual = _is_set(ordinary, F.xxhash64(word, F.lit(0)), ORDINARY)
-        for k in range(1, PROBES):
-            usual &= _is_set(ordinary, F.xxhash64(word, F.lit(k)), ORDINARY)
+        probes = F.array(*[F.xxhash64(word, F.lit(k)) for k in range(PROBES)])
+        usual = F.forall(probes, lambda h: _is_set(ordinary, h, ORDINARY))
         return F.when(F.ascii(w) != 94, w).when(usual, word).otherwise(F.concat(F.lit("@"), word))
 
     return F.transform(_marked(text, "^"), settled)
@@ -93,6 +94,11 @@ def _template(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(F.ascii(w).isin(35, 64, 126), F.substring(w, 1, 1)).otherwise(w))
 
 
+def _plain(words: Column) -> Column:
+    """Names as plain words; numbers and units stay slots."""
+    return F.transform(words, lambda w: F.when(F.ascii(w) == 64, F.substring(w, 2, 1 << 30)).otherwise(w))
+
+
 def _pattern(words: Column) -> Column:
     """For each slot of a window, the place of the first slot with the same type and value."""
     slots = F.filter(words, lambda w: F.ascii(w).isin(35, 64, 126))
@@ -111,13 +117,16 @@ def _window_hashes(hashes: Column, size: Column | int) -> Column:
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW, ordinary: bytes | None = None) -> DataFrame:
-    """hash, size, item_id, at, of (windows of the item), words: one row per window."""
+    """hash, size, item_id, at, of (windows of the item), words: one row per window, and one for its plain
+    form if that is another."""
     cut = items.select("item_id", tokens(whole(), ordinary).alias("words")).distinct() \
         .withColumn("template", _template(F.col("words"))) \
         .withColumn("size", F.least(F.lit(window), F.size("words"))).where(F.col("size") >= min(LEAST_WORDS, window))
-    return cut.withColumn("hashes", _window_hashes(_word_hashes(F.col("template")), F.col("size"))) \
+    plain = cut.withColumn("words", _plain(F.col("words"))).withColumn("template", _template(F.col("words")))
+    both = cut.union(plain.select(*cut.columns))
+    return both.withColumn("hashes", _window_hashes(_word_hashes(F.col("template")), F.col("size"))) \
         .select("item_id", "size", "words", F.size("hashes").alias("of"), F.posexplode("hashes").alias("at", "hash")) \
-        .select("hash", "size", "item_id", "at", "of", F.slice("words", F.col("at") + 1, F.col("size")).alias("item_words"))
+        .select("hash", "size", "item_id", "at", "of", F.slice("words", F.col("at") + 1, F.col("size")).alias("item_words")).distinct()
 
 
 def _bits(windows: DataFrame) -> dict[int, bytes]:
@@ -144,14 +153,20 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     bits = _bits(bench)
     rows = docs.select(F.col("doc_id").alias("_id"), whole().alias("_text")) \
         .select("_id", F.xxhash64("_text").alias("_hash"), tokens(F.col("_text"), ordinary).alias("words")) \
-        .withColumn("word_hashes", _word_hashes(_template(F.col("words")))) \
-        .withColumns({f"hashes{k}": _window_hashes(F.col("word_hashes"), k) for k in bits})
+        .withColumns({"word_hashes": _word_hashes(_template(F.col("words"))), "plain_hashes": _word_hashes(_template(_plain(F.col("words"))))}) \
+        .withColumns({f"{form}{k}": _window_hashes(F.col(f"{form}_hashes"), k) for k in bits for form in ("word", "plain")})
 
     def survivors(size: int, table: bytes) -> Column:
-        hashes = F.col(f"hashes{size}")
-        hit = F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: _is_set(table, hashes[i]))
-        return F.when(F.size(hashes) > 0, F.transform(hit, lambda i: F.struct(
-            F.lit(size).alias("size"), hashes[i].alias("hash"), F.slice("words", i + 1, F.lit(size)).alias("words"))))
+        words, plain = F.col(f"word{size}"), F.col(f"plain{size}")
+        n = F.size(words)
+        # a window without names is its own plain form
+        both = F.concat(words, F.zip_with(words, plain, lambda w, p: F.when(w != p, p)))
+        hit = F.filter(F.transform(both, lambda h, i: F.struct(h.alias("h"), i.alias("i"))),
+                       lambda x: x["h"].isNotNull() & _is_set(table, x["h"]))
+        return F.transform(hit, lambda x: F.struct(
+            F.lit(size).alias("size"), x["h"].alias("hash"),
+            F.when(x["i"] < n, F.slice("words", x["i"] + 1, F.lit(size)))
+            .otherwise(_plain(F.slice("words", x["i"] - n + 1, F.lit(size)))).alias("words")))
 
     none = F.array().cast("array<struct<size:int,hash:bigint,words:array<string>>>")
     kept = F.concat(none, *[F.coalesce(survivors(k, v), none) for k, v in sorted(bits.items())])

@@ -111,3 +111,13 @@ def test_ordinary_words_that_start_a_sentence_are_no_names(spark):
     table = d.ordinary_words(bench)
     words = bench.select(d.tokens(bench["text"], table).alias("w")).first()["w"]
     assert words == ["marbles", "roll", "the", "marbles", "stop", "when", "@omar", "calls", "@omar", "runs"]
+
+
+def test_copies_in_running_text_and_other_letter_case(spark):
+    items = [(1, "What is the capital city of France"), (2, ITEMS[1][1]), (3, "Marbles roll down to Omar")]
+    got = run(spark, [
+        "the quiz then asked What is the capital city of France today", "so what is the capital city of france",
+        FILL + ITEMS[1][1].lower(), FILL + ITEMS[1][1].upper(), "he wrote Marbles roll down to Omar on it",
+        "the quiz then asked What is the capital city of Spain today", "what is the largest city of France",
+    ], items)
+    assert [got[i] for i in range(7)] == [(True, 1), (True, 1), (True, 2), (True, 2), (True, 3), (True, 1), (False, None)]
