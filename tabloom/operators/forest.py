@@ -7,6 +7,7 @@ tree is the same wherever it grows:
 
 - nodes with more than `local_rows` rows are split by one scan per level for a group of trees: tasks sum
   histograms per (tree, node), one row per node and task is shuffled, and the best splits come back;
+- a larger node that finds no gain or meets the depth limit is a leaf made of these sums, and its rows stay;
 - a node with at most `local_rows` rows is finished inside one task;
 - a training table that small as a whole is sent to the tasks once (checked size), one task per tree.
 
@@ -375,24 +376,28 @@ def _walk(top: dict, codes: np.ndarray, tree: int) -> np.ndarray:
 def _grow_from_the_top(data: DataFrame, g: Growth, p: int, local_rows: int):
     """Upper levels by scans, a group of trees at a time; then every open node in one task."""
     top: dict[int, dict[int, tuple[int, int]]] = {t: {} for t in range(g.trees)}
+    closed: dict[int, dict[int, list[float]]] = {t: {} for t in range(g.trees)}  # large leaves: {path: label means}
     gains = np.zeros((g.trees, p))
     for first in range(0, g.trees, TREE_GROUP):
-        large = {t: {int(ROOT)} for t in range(first, min(first + TREE_GROUP, g.trees))}
+        large = {t: {int(ROOT): []} for t in range(first, min(first + TREE_GROUP, g.trees))}
         depth = 0
         while any(large.values()) and not (g.depth and depth >= g.depth):
             found = _level(data, {t: top[t] for t in large}, large, g, p).collect()  # one row per open node
-            large = {t: set() for t in large}
+            large = {t: {} for t in large}
             for r in found:
+                t, path = r["tree"], np.array([r["path"]], np.int64).astype(np.uint64)
                 if r["gain"] <= 1e-9:
+                    closed[t][int(path[0])] = r["mean"]
                     continue
-                t, path = r["tree"], np.array([r["path"]], np.int64).astype(np.uint64)
                 top[t][int(path[0])] = (r["column"], r["cut"])
                 gains[t, r["column"]] += r["gain"]
-                for side, n in ((False, r["n_left"]), (True, r["n_right"])):
+                for side, n, mean in ((False, r["n_left"], r["mean_left"]), (True, r["n_right"], r["mean_right"])):
                     if n > local_rows:
-                        large[t].add(int(_children(path, side)[0]))
+                        large[t][int(_children(path, side)[0])] = mean
             depth += 1
-    return _finish(data, top, g, p), top, gains
+        for t, nodes in large.items():  # those at the depth limit
+            closed[t].update(nodes)
+    return _finish(data, top, closed, g, p), top, gains
 
 
 def _level(data: DataFrame, top: dict, large: dict, g: Growth, p: int) -> DataFrame:
@@ -426,11 +431,16 @@ def _level(data: DataFrame, top: dict, large: dict, g: Growth, p: int) -> DataFr
         n = h[0, pick[0], :, 0].sum()
         if n < max(g.least_split, 2):
             gain[:] = 0
+        upto = h[0, pick[0], :cut[0] + 1, 1:].sum(0)
+        total = h[0, pick[0], :, 1:].sum(0)
+        means = {k: pa.array([(v[1:] / max(v[0], 1)).tolist()], pa.list_(pa.float64()))
+                 for k, v in (("mean", total), ("mean_left", upto), ("mean_right", total - upto))}
         return pa.table({"tree": pa.array([tree], pa.int32()), "path": pa.array([key[1].as_py()], pa.int64()), "column": pa.array([int(columns[0, pick[0]])], pa.int32()),
-                         "cut": pa.array([int(cut[0])], pa.int32()), "gain": [float(gain[0])], "n_left": pa.array([int(left)], pa.int64()), "n_right": pa.array([int(n - left)], pa.int64())})
+                         "cut": pa.array([int(cut[0])], pa.int32()), "gain": [float(gain[0])], "n_left": pa.array([int(left)], pa.int64()), "n_right": pa.array([int(n - left)], pa.int64()), **means})
 
     return data.mapInArrow(partial, "tree int, path long, sums binary").groupBy("tree", "path") \
-        .applyInArrow(choose, "tree int, path long, column int, cut int, gain double, n_left long, n_right long")
+        .applyInArrow(choose, "tree int, path long, column int, cut int, gain double, n_left long, n_right long, "
+                      "mean array<double>, mean_left array<double>, mean_right array<double>")
 
 
 def _depth_of(top: dict, path: int) -> int:
@@ -445,7 +455,10 @@ def _depth_of(top: dict, path: int) -> int:
     return depth
 
 
-def _finish(data: DataFrame, top: dict, g: Growth, p: int) -> DataFrame:
+def _finish(data: DataFrame, top: dict, closed: dict, g: Growth, p: int) -> DataFrame:
+    """Subtrees of the open nodes, each in one task, and the large leaves."""
+    done = {t: np.array(list(nodes), np.uint64).astype(np.int64) for t, nodes in closed.items()}
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -454,6 +467,8 @@ def _finish(data: DataFrame, top: dict, g: Growth, p: int) -> DataFrame:
             for tree in range(g.trees):
                 at = np.flatnonzero(row_weights(h, tree, g) > 0)
                 path = _walk(top, codes[at], tree).astype(np.int64)
+                open_ = ~np.isin(path, done[tree])
+                at, path = at[open_], path[open_]
                 rows = b.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), tree, np.int32)), pa.array(path), *rows.columns],
                                                  names=["tree", "path", "__h", "__y", "codes"])
@@ -465,7 +480,11 @@ def _finish(data: DataFrame, top: dict, g: Growth, p: int) -> DataFrame:
         return pa.Table.from_batches([_part(tree, path, t, gains)])
 
     routed = data.select("__h", "__y", "codes").mapInArrow(route, "tree int, path long, __h long, __y array<double>, codes binary")
-    return routed.groupBy("tree", "path").applyInArrow(finish, PART)
+    leaves = [_part(t, path, Tree([-1], [0], [0], [0], [mean]), np.zeros(p)) for t, nodes in closed.items() for path, mean in nodes.items()]
+    finished = routed.groupBy("tree", "path").applyInArrow(finish, PART)
+    if not leaves:
+        return finished
+    return finished.union(data.sparkSession.createDataFrame(pa.Table.from_batches(leaves), PART))
 
 
 def _predict(forest: Forest, df: DataFrame, out: str) -> DataFrame:

@@ -104,3 +104,30 @@ def test_bad_rows(data):
         fo.fit(data.withColumn("a", F.when(F.col("id") > 5, F.col("a"))), COLS, "y", fo.Growth(trees=1))
     flat = fo.fit(data.withColumn("y", F.lit(7.0)), COLS, "y", fo.Growth(trees=2))
     assert flat.transform(data).select("prediction").distinct().collect()[0][0] == 7.0
+
+
+@pytest.mark.parametrize("depth, bootstrap", [(0, True), (2, False)])
+def test_large_leaves_are_closed_above(spark, monkeypatch, depth, bootstrap):
+    draw = np.random.default_rng(5)
+    x = draw.integers(0, 6, (300, 2))
+    rows = [(float(a), float(b), float(3 * a + b)) for a, b in x] + [(9.0, 9.0, float(i % 7)) for i in range(150)]
+    df = spark.createDataFrame(rows, "a double, b double, y double").repartition(3)
+    g = fo.Growth(trees=2, depth=depth, bootstrap=bootstrap, bins=16)
+    plain, held = fo._finish, []
+
+    def finish(data, top, closed, g, p):
+        held.append(closed)
+        return plain(data, top, closed, g, p)
+
+    monkeypatch.setattr(fo, "_finish", finish)
+    above = fo.fit(df, ["a", "b"], "y", g, local_rows=20)
+    whole = fo.fit(df, ["a", "b"], "y", fo.Growth(trees=2, depth=depth, bootstrap=False, bins=16), local_rows=10_000)
+    assert all(held[0][t] for t in range(2))
+    parts = above.parts.select("tree", "path").collect()
+    assert {(t, int(np.array(n, np.uint64).astype(np.int64))) for t in held[0] for n in held[0][t]} <= {tuple(r) for r in parts}
+    assert len(set(parts)) == len(parts)
+    got = above.transform(df).toPandas().sort_values(["a", "b", "y"])["prediction"].to_numpy()
+    assert len(got) == len(rows)
+    if not bootstrap:
+        want = whole.transform(df).toPandas().sort_values(["a", "b", "y"])["prediction"].to_numpy()
+        assert np.array_equal(got, want)
