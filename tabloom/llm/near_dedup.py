@@ -12,7 +12,8 @@
    the links are the result.
 
 A band key or family of any size is cut into blocks; each pair of blocks is one group of rows, so no
-group and no task holds more than two blocks, and nothing is capped. A pair at the threshold shares none
+group and no task holds more than two blocks, and nothing is capped. Blocks of a family are bounded by
+shingles and by documents, as the exact comparison holds matrices of documents. A pair at the threshold shares none
 of the bands with a probability of (1 - 0.85 ** 6) ** 36, about 4e-8.
 
 Defined results: a null or empty text has no shingle, links with nothing and is its own component;
@@ -42,6 +43,7 @@ ZEROS, MANTISSA = 4, 4
 PRUNE = 0.62
 BAND_BLOCK = 1024  # members of a band key in a block
 FAMILY_BLOCK = 100_000  # shingles of a family in a block
+FAMILY_DOCS = 2_000  # documents of a family in a block: matrices of a pair of blocks have 4,000 rows
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -253,9 +255,10 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     keep = often[code]
     code, row = rank[code[keep]], row[keep]
     out = np.zeros((n, n), np.float64)
-    for low in range(0, int(often.sum()), 4096):
+    total = int(often.sum())
+    for low in range(0, total, 4096):
         a, b = np.searchsorted(code, [low, low + 4096])
-        part = np.zeros((n, 4096), np.float32)
+        part = np.zeros((n, min(4096, total - low)), np.float32)
         part[row[a:b], code[a:b] - low] = 1.0
         out += part @ part.T
     return out.astype(np.int64)
@@ -281,8 +284,9 @@ def _verified_forest(docs: DataFrame, families: DataFrame, size: int, percent: i
                 group = [np.frombuffer(v, np.uint64) for v in t.column("items").slice(bounds[g], bounds[g + 1] - bounds[g]).to_pylist()]
                 count = np.array([len(v) for v in group])
                 shared = shared_counts(group)
-                ok = 100 * shared >= percent * (count[:, None] + count[None, :] - shared)
-                ok &= shared > 0
+                ok = shared > 0
+                for i in range(len(ok)):  # row by row: no more matrices of this size
+                    ok[i] &= 100 * shared[i] >= percent * (count[i] + count - shared[i])
                 np.fill_diagonal(ok, False)
                 if x[bounds[g]] != y[bounds[g]]:
                     ok &= own[at][:, None] != own[at][None, :]
@@ -296,6 +300,12 @@ def _verified_forest(docs: DataFrame, families: DataFrame, size: int, percent: i
         .mapInArrow(run, "a long, b long")
 
 
+def _family_blocks(members: DataFrame) -> DataFrame:
+    """component, blocks: as many as its shingles and its documents (node, n, component) ask for."""
+    by_shingles, by_docs = F.ceil(F.sum("n") / FAMILY_BLOCK), F.ceil(F.count(F.lit(1)) / FAMILY_DOCS)
+    return members.groupBy("component").agg(F.greatest(by_shingles, by_docs).cast("long").alias("blocks"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
     sketch = materialize(_sketch(docs, size), "sketch")
@@ -313,8 +323,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     members = salted_lookup(rows, met, "key", F.col("node")).where("blocks IS NOT NULL").join(reps, "node")
     families = components(_candidate_forest(members))
 
-    weight = placed.where("n > 0 AND node = doc_id").select("node", "n").join(families, "node") \
-        .groupBy("component").agg(F.ceil(F.sum("n") / FAMILY_BLOCK).cast("long").alias("blocks"))
+    weight = _family_blocks(placed.where("n > 0 AND node = doc_id").select("node", "n").join(families, "node"))
     blocks = salted_lookup(families, weight, "component", F.col("node")) \
         .select("node", F.col("component").alias("family"), "blocks")
     links = components(_verified_forest(docs, materialize(blocks, "families"), size, percent))

@@ -92,3 +92,26 @@ def test_edges(docs, no_docs):
     kept = nd.keep_one(docs)
     assert kept.columns == docs.columns
     assert rows_of(kept, "doc_id") == sorted([(i,) for i in (1, 1, 3, 4, 5, 6, 7, 8, 9, None, None)], key=repr)
+
+
+def test_a_large_family_of_short_copies_is_cut_by_documents(spark):
+    n = 30_000
+    notice = " ".join(f"w{k}" for k in range(12))
+    docs = spark.range(n).selectExpr("id AS doc_id", f"concat('{notice} own', id) AS text")
+    members = docs.selectExpr("doc_id AS node", "9L AS n", "0L AS component")
+    blocks = nd._family_blocks(members).first()["blocks"]
+    assert blocks == n / nd.FAMILY_DOCS
+    families = members.selectExpr("node", "component AS family", f"{blocks}L AS blocks")
+    edges = nd._verified_forest(docs, families, 5, 80).toPandas()
+    top = np.arange(n)
+
+    def find(i):
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+
+    for a, b in zip(edges["a"], edges["b"]):
+        x, y = find(a), find(b)
+        top[max(x, y)] = min(x, y)
+    assert {find(i) for i in range(n)} == {0} and len(edges) < blocks * 2 * n
