@@ -35,7 +35,8 @@ SHARE = 0.5
 TABLE = 1 << 20
 #: Benchmark windows that may be broadcast: fewer than this many rows of about 200 bytes.
 SMALL_WINDOWS = 200_000
-#: Bits of the table of ordinary words, and bits set per word: 30,000 words let one name in 1,500 look ordinary.
+#: Most bits of the table of ordinary words (a small benchmark takes 32 a word, as plans hold the table), and
+#: bits set per word: 30,000 words let one name in 1,500 look ordinary.
 ORDINARY, PROBES = 1 << 20, 3
 
 # Units that make a slot of their own after a number.
@@ -71,7 +72,7 @@ def tokens(text: Column, ordinary: bytes | None = None) -> Column:
     def settled(w: Column) -> Column:
         word = F.substring(w, 2, 1 << 30)
         probes = F.array(*[F.xxhash64(word, F.lit(k)) for k in range(PROBES)])
-        usual = F.forall(probes, lambda h: _is_set(ordinary, h, ORDINARY))
+        usual = F.forall(probes, lambda h: _is_set(ordinary, h, 8 * len(ordinary)))
         return F.when(F.ascii(w) != 94, w).when(usual, word).otherwise(F.concat(F.lit("@"), word))
 
     return F.transform(_marked(text, "^"), settled)
@@ -83,8 +84,12 @@ def ordinary_words(items: DataFrame) -> bytes | None:
     words = items.select(F.explode(_marked(whole(), "^")).alias("w")).where(~F.ascii("w").isin(35, 126, 94))
     name = F.ascii("w") == 64
     usual = words.groupBy(F.ltrim("w", F.lit("@")).alias("word")).agg(F.sum(F.when(name, -1).otherwise(1)).alias("n")).where("n > 0")
-    slots = F.explode(F.array(*[F.pmod(F.xxhash64("word", F.lit(k)), F.lit(ORDINARY)).cast("int") for k in range(PROBES)]))
-    table = bytearray(ORDINARY // 8)
+    usual = materialize(usual.select("word"), "ordinary")
+    size = 1024
+    while size < min(ORDINARY, 32 * usual.count()):
+        size *= 2
+    slots = F.explode(F.array(*[F.pmod(F.xxhash64("word", F.lit(k)), F.lit(size)).cast("int") for k in range(PROBES)]))
+    table = bytearray(size // 8)
     for r in usual.select(slots.alias("slot")).distinct().collect():
         table[r["slot"] >> 3] |= 1 << (r["slot"] & 7)
     return bytes(table) if any(table) else None
@@ -149,7 +154,7 @@ def _is_set(bits: bytes, value: Column, size: int | None = None) -> Column:
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """_id, _hash (of the text), item_id, windows of the item matched consistently, and of how many."""
     ordinary = ordinary_words(items)
-    bench = benchmark_windows(items, window, ordinary)
+    bench = materialize(benchmark_windows(items, window, ordinary), "benchmark")
     bits = _bits(bench)
     rows = docs.select(F.col("doc_id").alias("_id"), whole().alias("_text")) \
         .select("_id", F.xxhash64("_text").alias("_hash"), tokens(F.col("_text"), ordinary).alias("words")) \
