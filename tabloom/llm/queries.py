@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 
 from tabloom.llm import (
-    chat, decontaminate, language_id, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, secrets, warc,
+    bpe, chat, decontaminate, language_id, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, secrets, warc,
 )
 from tabloom.llm.common import table
 from tabloom.llm.registry import query
@@ -65,3 +66,10 @@ def op7(spark, sf):
 @query("op10_language_id")
 def op10(spark, sf):
     return language_id.identify(table(spark, sf, "pages"), table(spark, sf, "documents"))
+
+
+@query("op11_byte_bpe")
+def op11(spark, sf):
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, sf, "documents"), ranks, pattern, ["doc_id"])
+    return bpe.digests(encoded, ranks, pattern, ["doc_id"])
