@@ -20,6 +20,9 @@ INVERSE = pow(BASE, -1, 1 << 64)
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between alphanumeric terms: ASCII other than letters and digits.
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -76,8 +79,9 @@ class Words:
         return h, at
 
 
-def blocks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
-    """Cut a string column into blocks of words; null is an empty text."""
+def blocks(column: pa.Array, lower: bool = False, separator: np.ndarray = _SEPARATOR) -> Iterator[Words]:
+    """Cut a string column into blocks of words; null is an empty text. `separator` says of each byte
+    whether it stands between words."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary()).fill_null(b"")
@@ -93,16 +97,16 @@ def blocks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
         last = min(last, n)
         bounds = offsets[first:last + 1] - offsets[first]
         data = everything[offsets[first]:offsets[last]]
-        yield _cut(first, _LOWER[data] if lower else data, bounds)
+        yield _cut(first, _LOWER[data] if lower else data, bounds, separator)
         first = last
 
 
-def _cut(first: int, data: np.ndarray, bounds: np.ndarray) -> Words:
+def _cut(first: int, data: np.ndarray, bounds: np.ndarray, separator: np.ndarray) -> Words:
     n, size = len(bounds) - 1, len(data)
     if size == 0:
         none = np.empty(0, np.int64)
         return Words(first, n, data, bounds, none, none, np.empty(0, np.uint64), none, np.empty(0, bool), np.zeros(1, np.uint64))
-    gap = _SEPARATOR[data]
+    gap = separator[data]
     before = np.empty(size, bool)
     before[0], before[1:] = True, gap[:-1]
     after = np.empty(size, bool)

@@ -64,3 +64,28 @@ reached AS (
   SELECT r.node, e.b FROM reached r JOIN both_ways e ON e.a = r.top)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(c.top, s.doc_id) AS component_id, coalesce(c.top, s.doc_id) = s.doc_id AS kept
 FROM sets s LEFT JOIN (SELECT node, min(top) AS top FROM reached GROUP BY node) c ON c.node = s.doc_id"""
+
+_TERMS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+SEARCH = f"""
+WITH query AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+words AS (
+  SELECT doc, doc_id, unnest({_TERMS}) AS term FROM (SELECT row_number() OVER () AS doc, doc_id, text FROM documents)),
+sizes AS (SELECT doc, any_value(doc_id) AS doc_id, count(*) AS n FROM words GROUP BY doc),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+counts AS (SELECT doc, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM query) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), total),
+parts AS (
+  SELECT doc, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))) AS part
+  FROM counts JOIN weights USING (term) JOIN sizes USING (doc), total),
+scores AS (
+  SELECT item_id, doc, doc_id, CAST(sum(part * times) AS BIGINT) AS score
+  FROM query JOIN parts USING (term) GROUP BY ALL HAVING sum(part * times) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores QUALIFY rank <= 10
+"""

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from tabloom.llm import (
-    bpe, chat, decontaminate, language_id, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, secrets, warc,
+    bpe, chat, decontaminate, language_id, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, ranked_search, secrets,
+    warc,
 )
 from tabloom.llm.common import table
 from tabloom.llm.registry import query
@@ -73,3 +74,9 @@ def op11(spark, sf):
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = bpe.encode(table(spark, sf, "documents"), ranks, pattern, ["doc_id"])
     return bpe.digests(encoded, ranks, pattern, ["doc_id"])
+
+
+@query("op13_ranked_search", oracles.SEARCH)
+def op13(spark, sf):
+    """The ten best documents for each benchmark item."""
+    return ranked_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
