@@ -26,6 +26,14 @@ def known():
         return bpe.vocabulary(f.read(), PATTERN)
 
 
+def encode(known, *texts):
+    block = bpe.Block(known)
+    for t in texts:
+        block.add(t)
+    ids, offsets = block.encoded()
+    return [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+
+
 def test_queue_gives_lowest_rank_then_leftmost():
     draw, queue, want = random.Random(1), bpe.RankQueue(5000), []
     for _ in range(3000):
@@ -45,17 +53,15 @@ def test_queue_gives_lowest_rank_then_leftmost():
 def test_equals_the_library_on_random_texts(known, library):
     draw = random.Random(2)
     alphabet = list("aaabcdeénoöß  \n\t'.,!?0123ЖδΩ中文🙂 　‍́\x1c\x00<|>") + [" the", " der", "'ll", "<|endoftext|>", "  "]
-    for _ in range(3000):
-        text = "".join(draw.choice(alphabet) for _ in range(draw.randint(0, 60)))
-        assert list(known.encode(text)) == library.encode_ordinary(text), text
+    texts = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 60))) for _ in range(3000)]
+    assert encode(known, *texts) == [library.encode_ordinary(t) for t in texts]
 
 
 def test_equals_the_library_on_many_characters(known, library):
     points = [chr(i) for i in [*range(0x3100), *range(0xE000, 0x110000, 97)]]
     text = ["a" + c + "x" + c + c + "7 " + c + " " + c for c in points]
-    for i in range(0, len(text), 512):
-        joined = "|".join(text[i:i + 512])
-        assert list(known.encode(joined)) == library.encode_ordinary(joined), i
+    texts = ["|".join(text[i:i + 512]) for i in range(0, len(text), 512)]
+    assert encode(known, *texts) == [library.encode_ordinary(t) for t in texts]
 
 
 def test_equals_the_library_on_long_pre_tokens(known, library):
@@ -65,12 +71,32 @@ def test_equals_the_library_on_long_pre_tokens(known, library):
         assert known.merge(piece.encode()) == library._encode_single_piece(piece)
 
 
-def test_memory_is_bounded(known, monkeypatch, library):
-    monkeypatch.setattr(bpe, "REMEMBERED", 10)
-    fresh = bpe.Vocabulary("".join(f"{base64.b64encode(t).decode()} {r}\n" for t, r in known.rank.items()).encode(), PATTERN)
-    text = " ".join(f"word{i}" for i in range(500))
-    assert list(fresh.encode(text)) == library.encode_ordinary(text)
-    assert len(fresh.inside) <= 10 and len(fresh.whole) <= 10
+def test_common_queue_equals_one_queue_each(known):
+    draw = random.Random(4)
+    letters = ["a", "e", "th", "er", "ing", "=", "-", " ", "é", "0", "\n"]
+    pieces = ["".join(draw.choice(letters) for _ in range(draw.randint(1, 40))).encode() for _ in range(4000)]
+    pieces += [b"=" * n for n in range(1, 300)] + [b"ab" * n for n in range(1, 60)]
+    ids, offsets = known.merge_many(pieces)
+    assert known.hasty.any()
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [known.merge(p) for p in pieces]
+    assert known.queue.first() == -1
+
+
+def test_a_vocabulary_whose_merges_make_lower_ranks():
+    """Any order of ranks, so that a merge often makes a pair of lower rank."""
+    draw = random.Random(5)
+    for _ in range(60):
+        tokens = {bytes([b]) for b in b"abc"}
+        while len(tokens) < 25:
+            tokens.add(bytes(draw.choice(b"abc") for _ in range(draw.randint(2, 5))))
+        ranks = dict(zip(draw.sample(sorted(tokens), len(tokens)), range(len(tokens))))
+        small = bpe.Vocabulary(b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ranks.items()), PATTERN)
+        library = tiktoken.Encoding("small", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        pieces = [bytes(draw.choice(b"abc") for _ in range(draw.randint(1, 30))) for _ in range(40)]
+        want = [library._encode_single_piece(p) for p in pieces]
+        assert [small.merge(p) if p not in ranks else [ranks[p]] for p in pieces] == want
+        ids, offsets = small.encode_pieces(pieces)
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
 
 
 def test_rows_and_round_trip(spark, docs, no_docs, library):
