@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from tabloom.llm import (
-    bpe, chat, decontaminate, language_id, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, ranked_search, secrets,
+    bpe, chat, conversation_repair, decontaminate, language_id, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, ranked_search, secrets,
     warc,
 )
 from tabloom.llm.common import table
@@ -80,3 +80,10 @@ def op11(spark, sf):
 def op13(spark, sf):
     """The ten best documents for each benchmark item."""
     return ranked_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op12_conversation_repair", oracles.REPAIR)
+def op12(spark, sf):
+    """All conversations, with faults put into them first."""
+    turns = table(spark, sf, "conversations")
+    return conversation_repair.report(conversation_repair.damage(turns), turns)
