@@ -11,9 +11,10 @@ form next to it, with the names as lower-case words; either form may match, so a
 its letter case and whatever stands before it. A document is contaminated by an
 item when consistent windows cover at least `share` of the item's windows.
 
-The documents' windows are tested in their row against a bit table of the benchmark's window hashes
-(`TABLE` bits, a fixed size), and only survivors leave the row; the join itself then sees few rows and
-decides exactly. A larger benchmark fills the table and only makes the test less selective.
+The documents' windows are tested in their row against two bit tables of the benchmark (`TABLE` bits each, a
+fixed size): one of the first two words of its windows, which says where a window may start, and one of
+whole windows, which are only cut there. Only survivors leave the row; the join itself then sees few rows
+and decides exactly. A larger benchmark fills the tables and only makes the tests less selective.
 
 Defined results: null and empty texts have no window and are clean; an item shorter than `window` words
 is one window of its own length if it has at least `LEAST_WORDS` words, shorter items are matched by no
@@ -48,26 +49,33 @@ FUNCTION = ("The|An|This|That|These|Those|It|Its|He|His|Him|She|Her|Hers|We|Us|O
             "What|Which|Who|Whom|Whose|When|Where|Why|How|If|Then|Than|Else|And|Or|But|Nor|So|Yet|As|At|By|For|From|In|Into|"
             "Of|Off|On|Onto|Out|Over|Under|To|Up|With|Without|After|Before|Because|Since|Until|While|Although|Though|Also|"
             "Is|Are|Was|Were|Be|Been|Being|Do|Does|Did|Has|Have|Had|Can|Could|Should|Would|Shall|Must|Might|Not|No|Yes|"
-            "There|Here|All|Any|Both|Each|Every|Few|Some|Many|Much|Most|More|Other|Such|Only|However|Therefore|During|Between")
+            "There|Here|All|Any|Both|Each|Every|Few|Some|Many|Much|Most|More|Other|Such|Only|However|Therefore|During|Between|"
+            "Der|Die|Das|Den|Dem|Des|Ein|Eine|Einen|Einem|Einer|Eines|Er|Sie|Es|Wir|Ihr|Ihre|Ich|Und|Oder|Aber|Wenn|Weil|Als|"
+            "Im|Am|Mit|Von|Zu|Zum|Zur|Auf|Aus|Bei|Nach|Vor|Wie|Was|Wer|Wo|Wann|Wieviel|Wieviele|Welche|Welcher|Welches|Nicht|Dann|"
+            "Le|La|Les|Un|Une|De|Du|Il|Elle|Ils|Elles|Nous|Vous|Et|Ou|Mais|Si|Quand|Dans|Sur|Avec|Pour|Par|Combien|Quel|Quelle|Que|"
+            "El|Los|Las|Una|Unos|Unas|Ella|Ellos|Ellas|Pero|Cuando|En|Con|Para|Por|Cuanto|Cuantos|Cual|Al|Del|Y|O")
 _NAME = f"(?!(?:{FUNCTION})(?![\\p{{L}}\\p{{M}}\\p{{N}}]))(\\p{{Lu}}[\\p{{Ll}}\\p{{M}}]+)"
 _NUMBER = f"(?<!{_LETTER})(\\p{{N}}++)(?:\\s*(?i:({UNITS}))(?!{_LETTER}))?(?!{_LETTER})"
 
 
-def _marked(text: Column, first: str) -> Column:
-    """Words with their marks; `first` marks a capitalised word that is not inside a sentence."""
-    t = F.translate(text, "#~@^", "    ")
+def _named(text: Column, first: str) -> Column:
+    """The text with its names marked; `first` marks a capitalised word that is not inside a sentence."""
+    t = F.regexp_replace(text, "[#~@^]", " ")
     t = F.regexp_replace(t, f"(?=\\p{{Lu}})(?<=[\\p{{Ll}}\\p{{N}},;] ){_NAME}", "@$1")
-    t = F.regexp_replace(t, f"(?=\\p{{Lu}})(?<![\\p{{L}}\\p{{M}}\\p{{N}}@]){_NAME}", f"{first}$1")
+    return F.regexp_replace(t, f"(?=\\p{{Lu}})(?<![\\p{{L}}\\p{{M}}\\p{{N}}@]){_NAME}", f"{first}$1")
+
+
+def _cut(t: Column) -> Column:
+    """Words of a text with marks, numbers and units marked as well."""
     t = F.when(F.rlike(t, F.lit("[0-9]")), F.regexp_replace(t, _NUMBER, " #$1 ~$2 ")).otherwise(t)
     words = F.split(F.lower(t), "[^\\p{L}\\p{M}\\p{N}#~@^]+", -1)
     return F.filter(words, lambda w: ~w.isin("", "~"))
 
 
-def tokens(text: Column, ordinary: bytes | None = None) -> Column:
-    """Template words; a slot is # (number), ~ (unit) or @ (name) followed by its value. The parts of a
-    number around a point or comma are slots of their own. `ordinary` is the table of `ordinary_words`."""
+def _settled(words: Column, ordinary: bytes | None) -> Column:
+    """Words that start a sentence become names, or plain words where they are ordinary."""
     if ordinary is None:
-        return _marked(text, "@")
+        return words
 
     def settled(w: Column) -> Column:
         word = F.substring(w, 2, 1 << 30)
@@ -75,7 +83,17 @@ def tokens(text: Column, ordinary: bytes | None = None) -> Column:
         usual = F.forall(probes, lambda h: _is_set(ordinary, h, 8 * len(ordinary)))
         return F.when(F.ascii(w) != 94, w).when(usual, word).otherwise(F.concat(F.lit("@"), word))
 
-    return F.transform(_marked(text, "^"), settled)
+    return F.transform(words, settled)
+
+
+def _marked(text: Column, first: str) -> Column:
+    return _cut(_named(text, first))
+
+
+def tokens(text: Column, ordinary: bytes | None = None) -> Column:
+    """Template words; a slot is # (number), ~ (unit) or @ (name) followed by its value. The parts of a
+    number around a point or comma are slots of their own. `ordinary` is the table of `ordinary_words`."""
+    return _settled(_marked(text, "@" if ordinary is None else "^"), ordinary)
 
 
 def ordinary_words(items: DataFrame) -> bytes | None:
@@ -121,8 +139,13 @@ def _window_hashes(hashes: Column, size: Column | int) -> Column:
     return F.when(F.size(hashes) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, size))))
 
 
+def _start(hashes: Column, at: Column) -> Column:
+    """Hash of the two words at a place."""
+    return F.xxhash64(F.get(hashes, at), F.get(hashes, at + 1))
+
+
 def benchmark_windows(items: DataFrame, window: int = WINDOW, ordinary: bytes | None = None) -> DataFrame:
-    """hash, size, item_id, at, of (windows of the item), words: one row per window, and one for its plain
+    """Windows of at least two words: hash, size, item_id, at, of (windows of the item), words: one row per window, and one for its plain
     form if that is another."""
     cut = items.select("item_id", tokens(whole(), ordinary).alias("words")).distinct() \
         .withColumn("template", _template(F.col("words"))) \
@@ -134,13 +157,13 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW, ordinary: bytes |
         .select("hash", "size", "item_id", "at", "of", F.slice("words", F.col("at") + 1, F.col("size")).alias("item_words")).distinct()
 
 
-def _bits(windows: DataFrame) -> dict[int, bytes]:
-    """For each window size a bit per slot of the table, set where some item's window falls. At most
-    TABLE positions per size, and `WINDOW - LEAST_WORDS + 1` sizes, come to the driver."""
-    found: dict[int, bytearray] = {}
-    for r in windows.select("size", F.pmod("hash", F.lit(TABLE)).cast("int").alias("slot")).distinct().collect():
-        found.setdefault(r["size"], bytearray(TABLE // 8))[r["slot"] >> 3] |= 1 << (r["slot"] & 7)
-    return {k: bytes(v) for k, v in found.items()}
+def _bits(hashes: DataFrame) -> bytes:
+    """A bit per slot of the table, set where one of the hashes falls. At most TABLE positions come to the
+    driver."""
+    found = bytearray(TABLE // 8)
+    for r in hashes.select(F.pmod("hash", F.lit(TABLE)).cast("int").alias("slot")).distinct().collect():
+        found[r["slot"] >> 3] |= 1 << (r["slot"] & 7)
+    return bytes(found)
 
 
 def _is_set(bits: bytes, value: Column, size: int | None = None) -> Column:
@@ -155,26 +178,35 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     """_id, _hash (of the text), item_id, windows of the item matched consistently, and of how many."""
     ordinary = ordinary_words(items)
     bench = materialize(benchmark_windows(items, window, ordinary), "benchmark")
-    bits = _bits(bench)
+    sizes = [r["size"] for r in bench.select("size").distinct().orderBy("size").collect()]  # at most window of them
+    starts, whole_windows = _bits(bench.select(_start(_word_hashes(_template(F.col("item_words"))), F.lit(0)).alias("hash"))), _bits(bench)
+    words = F.col("words")
+    # the plain form differs only in texts with names
+    plain = F.when(F.exists(words, lambda w: F.ascii(w) == 64), _word_hashes(_template(_plain(words))))
     rows = docs.select(F.col("doc_id").alias("_id"), whole().alias("_text")) \
-        .select("_id", F.xxhash64("_text").alias("_hash"), tokens(F.col("_text"), ordinary).alias("words")) \
-        .withColumns({"word_hashes": _word_hashes(_template(F.col("words"))), "plain_hashes": _word_hashes(_template(_plain(F.col("words"))))}) \
-        .withColumns({f"{form}{k}": _window_hashes(F.col(f"{form}_hashes"), k) for k in bits for form in ("word", "plain")})
-
-    def survivors(size: int, table: bytes) -> Column:
-        words, plain = F.col(f"word{size}"), F.col(f"plain{size}")
-        n = F.size(words)
-        # a window without names is its own plain form
-        both = F.concat(words, F.zip_with(words, plain, lambda w, p: F.when(w != p, p)))
-        hit = F.filter(F.transform(both, lambda h, i: F.struct(h.alias("h"), i.alias("i"))),
-                       lambda x: x["h"].isNotNull() & _is_set(table, x["h"]))
-        return F.transform(hit, lambda x: F.struct(
-            F.lit(size).alias("size"), x["h"].alias("hash"),
-            F.when(x["i"] < n, F.slice("words", x["i"] + 1, F.lit(size)))
-            .otherwise(_plain(F.slice("words", x["i"] - n + 1, F.lit(size)))).alias("words")))
-
-    none = F.array().cast("array<struct<size:int,hash:bigint,words:array<string>>>")
-    kept = F.concat(none, *[F.coalesce(survivors(k, v), none) for k, v in sorted(bits.items())])
+        .select("_id", F.xxhash64("_text").alias("_hash"), _named(F.col("_text"), "@" if ordinary is None else "^").alias("_text")) \
+        .select("_id", "_hash", _settled(_cut(F.col("_text")), ordinary).alias("words")) \
+        .withColumns({"word_hashes": _word_hashes(_template(words)), "plain_hashes": plain})
+
+    def may_start(i: Column) -> Column:
+        # null, and so no start, in a text without names
+        other = (F.get("plain_hashes", i) != F.get("word_hashes", i)) | (F.get("plain_hashes", i + 1) != F.get("word_hashes", i + 1))
+        return _is_set(starts, _start(F.col("word_hashes"), i)) | (other & _is_set(starts, _start(F.col("plain_hashes"), i)))
+
+    rows = rows.withColumn("at", F.when(F.size("words") > 1, F.filter(F.sequence(F.lit(0), F.size("words") - 2), may_start)))
+
+    def windows(name: str, size: int) -> Column:
+        there = F.filter("at", lambda i: F.size("words") >= i + size)
+        cut = F.transform(there, lambda i: F.struct(F.lit(size).alias("size"), F.xxhash64(F.slice(name, i + 1, F.lit(size))).alias("hash"),
+                                                    i.alias("i"), F.lit(name == "plain_hashes").alias("plain")))
+        return F.when(F.col(name).isNotNull(), cut)
+
+    none = F.array().cast("array<struct<size:int,hash:bigint,i:int,plain:boolean>>")
+    kept = F.concat(none, *[F.coalesce(windows(name, k), none) for k in sizes for name in ("word_hashes", "plain_hashes")])
+    kept = F.filter(kept, lambda x: _is_set(whole_windows, x["hash"]))
+    kept = F.when(F.size("at") > 0, F.transform(kept, lambda x: F.struct(
+        x["size"].alias("size"), x["hash"].alias("hash"),
+        F.when(x["plain"], _plain(F.slice("words", x["i"] + 1, x["size"]))).otherwise(F.slice("words", x["i"] + 1, x["size"])).alias("words"))))
     seen = rows.select("_id", "_hash", F.explode(kept).alias("w")).select("_id", "_hash", "w.hash", "w.size", "w.words")
     if bench.limit(SMALL_WINDOWS).count() < SMALL_WINDOWS:  # checked size; otherwise a shuffle join
         bench = F.broadcast(bench)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Odd base of the polynomial, and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)

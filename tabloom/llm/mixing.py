@@ -2,15 +2,17 @@
 
 The words of a source, document after document, are packed into blocks of `block` words (the last one may
 be shorter). A source's target is its weight's share of all words, at most `most` times its own words,
-the excess reshared by weight. Output shards of `shard` slots draw how many blocks each source gives from
-a multinomial whose chances are what every source still owes, so the sum over the shards meets each quota;
-a source's slots run through pseudorandom permutations of its block numbers, a new one for every pass,
+the excess reshared by weight. Output shards draw how many blocks each source gives from multinomials:
+the range of shards is halved again and again, and the half that comes first draws its counts with what
+each source still owes as chances, so the sum over the shards meets each quota. Every halving has a seed of
+its own, and any shard is drawn by itself from the quotas; a mix has at least `least_shards` of them,
+each of `SHARD` slots at most. A source's slots run through pseudorandom permutations of its block numbers, a new one for every pass,
 and blocks are joined to slots by number. No block is taken more than `most` times.
 
 Places inside a source come from running sums per (source, chunk of ids) plus the sums of the chunks
 before, so a source that holds a third of all rows is no single task. Everything is a function of the
-rows and the seed: reruns agree. One row per source, and per source and shard, goes through one task;
-documents, blocks and slots never do.
+rows and the seed: reruns agree. One row per source goes through one task; draws, documents, blocks and
+slots never do.
 
 Defined results: a null or empty text has size 0 and is never taken; a null source is a source of its
 own, the last; null ids and repeated rows are rows like any other; an empty table gives no rows. Extra
@@ -32,10 +34,15 @@ from tabloom.llm.common import whole, word_count
 from tabloom.storage import materialize
 
 
+#: Most slots of an output shard, and shards that a task draws.
+SHARD, TOGETHER = 65_536, 256
+
+
 @dataclass(frozen=True)
 class Settings:
     block: int = 64  # words
-    shard: int = 65_536  # slots of an output shard
+    shard: int | None = None  # slots of an output shard; None: SHARD, or fewer in a small mix
+    least_shards: int = 64
     most: int = 3
     weights: tuple[int, ...] = (1, 2, 3)
     seed: int = 20
@@ -87,34 +94,54 @@ def permuted(slot: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out
 
 
+def _halved(owed: np.ndarray, slots: int, seed: list[int]) -> np.ndarray:
+    """How many of `slots` slots each source gives: a multinomial with what the sources owe as chances; what
+    it would take beyond that is drawn again among the others."""
+    draw = np.random.default_rng(seed)
+    count = np.minimum(draw.multinomial(slots, owed / owed.sum()), owed)
+    while short := slots - int(count.sum()):
+        room = owed - count
+        count += np.minimum(draw.multinomial(short, room / room.sum()), room)
+    return count
+
+
+def _shards(owed: np.ndarray, size: int, seed: int, low: int, high: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(shard, first slot of each source, count of each source) for the shards from `low` to `high`."""
+    every = -(-int(owed.sum()) // size)
+    waiting = [(0, every, np.zeros_like(owed), owed)]
+    while waiting:
+        a, b, first, mine = waiting.pop()
+        if b <= low or a >= high:
+            continue
+        if b - a == 1:
+            yield a, first, mine
+            continue
+        middle = (a + b) // 2
+        left = _halved(mine, (middle - a) * size, [seed, a, b])
+        waiting += [(middle, b, first + left, mine - left), (a, middle, first, left)]
+
+
 def _draws(sources: DataFrame, s: Settings) -> DataFrame:
     """shard, rank, blocks (of the source), first (slot of the source), count."""
+    blocks = F.ceil(F.col("source_size") / s.block).cast("long")
+    passes = F.floor(F.col("target") / F.col("source_size")).cast("long")
+    rest = F.bround((F.col("target") - passes * F.col("source_size")) / s.block).cast("long")
+    owed = sources.where("source_size > 0").select("rank", blocks.alias("blocks"), F.least(passes * blocks + rest, s.most * blocks).alias("quota"))
+    one = owed.agg(F.sort_array(F.collect_list(F.struct("rank", "blocks", "quota"))).alias("owed"), F.coalesce(F.sum("quota"), F.lit(0)).alias("slots"))
+    size = F.greatest(F.lit(1), F.least(F.lit(SHARD), F.ceil(F.col("slots") / s.least_shards))) if s.shard is None else F.lit(s.shard)
+    ranges = one.where("slots > 0").withColumn("size", size.cast("long")) \
+        .withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("slots") / F.col("size")).cast("long") - 1, F.lit(TOGETHER).cast("long"))))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in kernel.empty_batches(batches) for r in b.to_pylist()]
-        rows.sort(key=lambda r: r["rank"])
-        quota, blocks = [], []
-        for r in rows:
-            n = -(-r["source_size"] // s.block)
-            passes = int(r["target"] // r["source_size"]) if r["source_size"] else 0
-            rest = r["target"] - passes * r["source_size"]
-            quota.append(min(passes * n + int(round(rest / s.block)), s.most * n))
-            blocks.append(n)
-        owed = np.array(quota, np.int64)
-        rank, blocks = np.array([r["rank"] for r in rows], np.int32), np.array(blocks, np.int64)
-        first, shard = np.zeros(len(rows), np.int64), 0
-        draw = np.random.default_rng(s.seed)
-        while len(rows) and owed.sum() > 0:
-            if owed.sum() <= s.shard:
-                count = owed.copy()
-            else:
-                count = np.minimum(draw.multinomial(s.shard, owed / owed.sum()), owed)
-            at = np.flatnonzero(count)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(at), shard, np.int64)), pa.array(rank[at]), pa.array(blocks[at]),
-                pa.array(first[at]), pa.array(count[at])], names=["shard", "rank", "blocks", "first", "count"])
-            first, owed, shard = first + count, owed - count, shard + 1
-
-    return sources.select("rank", "source_size", "target").coalesce(1).mapInArrow(
+        for r in (r for b in kernel.empty_batches(batches) for r in b.to_pylist()):
+            rank, blocks, quota = (np.array([o[k] for o in r["owed"]], np.int64) for k in ("rank", "blocks", "quota"))
+            for shard, first, count in _shards(quota, r["size"], s.seed, r["at"], r["at"] + TOGETHER):
+                at = np.flatnonzero(count)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(at), shard, np.int64)), pa.array(rank[at].astype(np.int32)), pa.array(blocks[at]),
+                    pa.array(first[at]), pa.array(count[at])], names=["shard", "rank", "blocks", "first", "count"])
+
+    return ranges.select("owed", "size", "at").repartition("at").mapInArrow(
         run, "shard long, rank int, blocks long, first long, count long")
 
 
@@ -152,7 +179,7 @@ def place(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFra
     before = Window.partitionBy("rank").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offset = rows.groupBy("rank", "chunk").agg(F.sum("size").alias("words")) \
         .withColumn("offset", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
-    placed = local.join(offset, ["rank", "chunk"]).select("doc_id", "rank", "size", (F.col("local") + F.col("offset")).alias("start"))
+    placed = local.join(offset.hint("merge"), ["rank", "chunk"]).select("doc_id", "rank", "size", (F.col("local") + F.col("offset")).alias("start"))
     return materialize(placed, "placed"), sources
 
 
@@ -172,16 +199,16 @@ def mixture(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     placed, sources = place(docs, s)
     held = pieces(placed, s).groupBy("rank", "block").agg(F.array_sort(F.collect_list(
         F.struct("start", "doc_id", "first", "words"))).alias("pieces"))
-    return slots(sources, s).join(held, ["rank", "block"])
+    return slots(sources, s).join(held.hint("merge"), ["rank", "block"])
 
 
 def taken(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One row per row of `docs`: doc_id, source, size, source_size, target, taken."""
     placed, sources = place(docs, s)
     times = slots(sources, s).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
-    of_row = pieces(placed, s).join(times, ["rank", "block"]) \
+    of_row = pieces(placed, s).join(times.hint("merge"), ["rank", "block"]) \
         .groupBy("rank", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken")) \
         .withColumnsRenamed({"rank": "_rank", "start": "_start"})
-    found = placed.join(of_row, (F.col("rank") == F.col("_rank")) & (F.col("start") == F.col("_start")) & (F.col("size") > 0), "left")
+    found = placed.join(of_row.hint("merge"), (F.col("rank") == F.col("_rank")) & (F.col("start") == F.col("_start")) & (F.col("size") > 0), "left")
     return found.join(sources.select("source", "source_size", "target", F.col("rank").alias("_r")), F.col("rank") == F.col("_r")) \
         .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))

@@ -13,8 +13,9 @@
 
 A band key or family of any size is cut into blocks; each pair of blocks is one group of rows, so no
 group and no task holds more than two blocks, and nothing is capped. Blocks of a family are bounded by
-shingles and by documents, as the exact comparison holds matrices of documents. A pair at the threshold shares none
-of the bands with a probability of (1 - 0.85 ** 6) ** 36, about 4e-8.
+shingles and by documents, as the exact comparison holds matrices of documents. Rows and number of the bands follow
+from the similarity asked for (`bands_for`): a pair at the threshold shares none of them with a probability of at most
+`MISS`. Thresholds too low for any such bands are refused.
 
 Defined results: a null or empty text has no shingle, links with nothing and is its own component;
 rows of one id are one document, whatever their texts; a row with a null id may lie in a component but
@@ -24,28 +25,47 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tabloom.llm import kernel
 from tabloom.llm.common import components, salted_lookup
 from tabloom.storage import materialize
 
 BUCKETS = 256
-ROWS, BANDS = 6, 36
+#: Chance that a pair at the threshold shares no band.
+MISS = 5e-8
 #: A register holds four bits of leading zeros and four of the mantissa.
 ZEROS, MANTISSA = 4, 4
-#: Estimates this low are no candidates: about eight standard errors under the least similarity asked for.
-PRUNE = 0.62
+#: Pairs whose estimate is so many standard errors under the threshold are no candidates.
+ERRORS = 10
 BAND_BLOCK = 1024  # members of a band key in a block
 FAMILY_BLOCK = 100_000  # shingles of a family in a block
 FAMILY_DOCS = 2_000  # documents of a family in a block: matrices of a pair of blocks have 4,000 rows
 
 
+def bands_for(percent: int) -> tuple[int, int]:
+    """Registers of a band and number of bands: the longest bands that find a pair at the threshold."""
+    same = percent / 100
+    for rows in range(16, 0, -1):
+        chance = min(same**rows, 1 - 1e-12)
+        bands = math.ceil(math.log(MISS) / math.log1p(-chance)) if chance > 0 else BUCKETS + 1
+        if rows * bands <= BUCKETS:
+            return rows, bands
+    raise ValueError(f"{BUCKETS} registers do not find pairs of similarity {same}")
+
+
+def prune_at(percent: int) -> float:
+    same = percent / 100
+    return max(0.0, same - ERRORS * math.sqrt(same * (1 - same) / BUCKETS))
+
+
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Per block: first text, number of texts, and the distinct (text, shingle hash) pairs in order.
     Letters A-Z count as a-z; a text of fewer than `size` words is one shingle."""
@@ -163,34 +183,43 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both.min(1)), pa.array(both.max(1))], names=["a", "b"])
 
 
+def _signatures(n: int, text: np.ndarray, shingle: np.ndarray) -> pa.Array:
+    """128 bits for each set, null where it is empty."""
+    sums = np.zeros((n, 2), np.uint64)
+    np.add.at(sums[:, 0], text, kernel.mix(shingle))
+    np.add.at(sums[:, 1], text, kernel.mix(shingle * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)))
+    return pa.array([r.tobytes() if c else None for r, c in zip(sums, np.bincount(text, minlength=n))], pa.binary())
+
+
 def _sketch(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in kernel.empty_batches(batches):
             for first, n, text, shingle in shingle_sets(batch.column(1), size):
                 count = np.bincount(text, minlength=n)
-                sums = np.zeros((n, 2), np.uint64)
-                np.add.at(sums[:, 0], text, kernel.mix(shingle))
-                np.add.at(sums[:, 1], text, kernel.mix(shingle * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)))
                 regs = registers(n, text, shingle)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, n), pa.array(count.astype(np.int64)),
-                    pa.array([r.tobytes() if c else None for r, c in zip(sums, count)], pa.binary()),
+                    _signatures(n, text, shingle),
                     pa.array([r.tobytes() for r in regs], pa.binary())], names=["doc_id", "n", "sig", "regs"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sig binary, regs binary")
 
 
-def _band_keys(reps: DataFrame) -> DataFrame:
-    weight = (np.uint64(256) ** np.arange(ROWS, dtype=np.uint64))[None, None, :]
+def _band_keys(reps: DataFrame, percent: int) -> DataFrame:
+    length, bands = bands_for(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in kernel.empty_batches(batches):
             regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, BUCKETS)
-            rows = regs[:, :ROWS * BANDS].reshape(-1, BANDS, ROWS).astype(np.uint64)
-            key = kernel.mix((rows * weight).sum(2, dtype=np.uint64)
-                             + (np.arange(BANDS, dtype=np.uint64) << np.uint64(50))[None, :]).astype(np.int64)
+            parts = regs[:, :length * bands].reshape(-1, bands, length)
+            key = np.tile(np.arange(bands, dtype=np.uint64) << np.uint64(50), (len(regs), 1))
+            for low in range(0, length, 6):  # up to six registers at a time
+                piece = parts[:, :, low:low + 6].astype(np.uint64)
+                weight = np.uint64(256) ** np.arange(piece.shape[2], dtype=np.uint64)
+                key = kernel.mix((piece * weight).sum(2, dtype=np.uint64) + key)
+            key = key.astype(np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(key.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["key", "node"])
+                pa.array(key.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), bands))], names=["key", "node"])
 
     return reps.select("node", "regs").mapInArrow(run, "key long, node long")
 
@@ -206,7 +235,9 @@ def _block_pairs(rows: DataFrame, group: str, blocks: str, spread: str) -> DataF
     return paired.repartition(group, "x", "y").sortWithinPartitions(group, "x", "y")
 
 
-def _candidate_forest(members: DataFrame) -> DataFrame:
+def _candidate_forest(members: DataFrame, percent: int) -> DataFrame:
+    least = prune_at(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, bounds in whole_groups(batches, 3):
             node, size, own = (t.column(k).to_numpy() for k in ("node", "n", "own"))
@@ -216,7 +247,7 @@ def _candidate_forest(members: DataFrame) -> DataFrame:
             two = bounds[:-1][count == 2]
             same = np.count_nonzero(regs[two] == regs[two + 1], axis=1)
             collision = (chances(size[two]) * chances(size[two + 1])).sum(1)
-            good = two[estimate(same, collision) >= PRUNE]
+            good = two[estimate(same, collision) >= least]
             found = list(zip(node[good].tolist(), node[good + 1].tolist()))
             for g in np.flatnonzero(count > 2):
                 at = slice(bounds[g], bounds[g + 1])
@@ -225,7 +256,7 @@ def _candidate_forest(members: DataFrame) -> DataFrame:
 
                 def near(i, others, r=r, chance=chance, side=side, across=across):
                     same = np.count_nonzero(r[others] == r[i], axis=1)
-                    ok = estimate(same, chance[others] @ chance[i]) >= PRUNE
+                    ok = estimate(same, chance[others] @ chance[i]) >= least
                     return ok & (side[others] != side[i]) if across else ok
 
                 found += [(int(ids[i]), int(ids[j])) for i, j in forest(len(ids), near)]
@@ -294,7 +325,7 @@ def _verified_forest(docs: DataFrame, families: DataFrame, size: int, percent: i
                 found += [(int(ids[i]), int(ids[j])) for i, j in forest(len(ids), lambda i, o, ok=ok: ok[i, o])]
             yield _edges(found)
 
-    text = docs.select(F.col("doc_id").alias("node"), "text").join(families, "node").select("text", "node", "family", "blocks")
+    text = docs.select(F.col("doc_id").alias("node"), "text").join(families.hint("merge"), "node").select("text", "node", "family", "blocks")
     rows = text.mapInArrow(sets, "node long, family long, blocks long, items binary")
     return _block_pairs(rows, "family", "blocks", "node").select("family", "x", "y", "own", "node", "items") \
         .mapInArrow(run, "a long, b long")
@@ -306,47 +337,81 @@ def _family_blocks(members: DataFrame) -> DataFrame:
     return members.groupBy("component").agg(F.greatest(by_shingles, by_docs).cast("long").alias("blocks"))
 
 
-def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
+def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, n, sig (of the set) and component of every row."""
     sketch = materialize(_sketch(docs, size), "sketch")
     copies = sketch.where("n > 0").groupBy("sig") \
         .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     copies = materialize(copies.select("sig", "first_id"), "copies")
     spread = F.coalesce(F.col("doc_id"), F.col("n"))
-    placed = materialize(salted_lookup(sketch, copies, "sig", spread).withColumn(
+    placed = materialize(salted_lookup(sketch, copies, "sig", spread, merge=True).withColumn(
         "node", F.coalesce("first_id", "doc_id")), "placed")
 
     reps = placed.where("n > 0 AND node = doc_id").select("node", "n", "regs")
-    rows = materialize(_band_keys(reps), "bands")
+    rows = materialize(_band_keys(reps, percent), "bands")
     met = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1") \
         .select("key", F.ceil(F.col("members") / BAND_BLOCK).cast("long").alias("blocks"))
-    members = salted_lookup(rows, met, "key", F.col("node")).where("blocks IS NOT NULL").join(reps, "node")
-    families = components(_candidate_forest(members))
+    members = salted_lookup(rows, met, "key", F.col("node"), merge=True).where("blocks IS NOT NULL").join(reps.hint("merge"), "node")
+    families = components(_candidate_forest(members, percent))
 
-    weight = _family_blocks(placed.where("n > 0 AND node = doc_id").select("node", "n").join(families, "node"))
-    blocks = salted_lookup(families, weight, "component", F.col("node")) \
+    weight = _family_blocks(placed.where("n > 0 AND node = doc_id").select("node", "n").join(families.hint("merge"), "node"))
+    blocks = salted_lookup(families, weight, "component", F.col("node"), merge=True) \
         .select("node", F.col("component").alias("family"), "blocks")
     links = components(_verified_forest(docs, materialize(blocks, "families"), size, percent))
-
     return _assemble(placed, copies, links)
 
 
+def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
+    return _found(docs, size, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.col("component"), F.lit(False)).alias("kept"))
+
+
 def _assemble(placed: DataFrame, copies: DataFrame, links: DataFrame) -> DataFrame:
     """Look every row's component up: copies by their set, others by their own id."""
-    of_set = copies.join(links.withColumnRenamed("node", "first_id"), "first_id", "left") \
+    of_set = copies.join(links.withColumnRenamed("node", "first_id").hint("merge"), "first_id", "left") \
         .select("sig", F.coalesce("component", "first_id").alias("of_set"))
     own = links.select(F.col("node").alias("doc_id"), F.col("component").alias("of_id"))
-    found = salted_lookup(placed.select("doc_id", "n", "sig"), of_set, "sig", F.coalesce(F.col("doc_id"), F.col("n"))) \
-        .join(own, "doc_id", "left")
-    component = F.coalesce("of_set", "of_id", "doc_id")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    found = salted_lookup(placed.select("doc_id", "n", "sig"), of_set, "sig", F.coalesce(F.col("doc_id"), F.col("n")), merge=True) \
+        .join(own.hint("merge"), "doc_id", "left")
+    return found.select("doc_id", "n", "sig", F.coalesce("of_set", "of_id", "doc_id").alias("component"))
 
 
-def keep_one(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
-    """Rows of `docs` whose document stands for its group, with their columns."""
-    found = near_duplicates(docs, size, percent).where("NOT kept AND doc_id IS NOT NULL") \
-        .select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")  # copies are many: a shuffle join
+def _with_set(docs: DataFrame, size: int) -> DataFrame:
+    """Rows of `docs` with the signature of their set, null where it is empty."""
+    at, names = docs.columns.index("text"), [*docs.columns, "_sig"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in kernel.empty_batches(batches):
+            for first, n, text, shingle in shingle_sets(batch.column(at), size):
+                rows = batch.slice(first, n)
+                yield pa.RecordBatch.from_arrays([*rows.columns, _signatures(n, text, shingle)], names=names)
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_sig", BinaryType())]))
 
+
+def keep_one(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
+    """One row of each group, with its columns: that of the smallest id, of several rows of this id the first by
+    text. A row with a null id stays if no row with an id has its set, and then one of those with the same set;
+    rows without shingles that have no id all stay."""
+    found = materialize(_found(docs, size, percent), "found")
+    named = found.where("doc_id IS NOT NULL")
+    gone = materialize(named.where("doc_id <> component").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    # rows of an id that comes more than once are told apart; all others stay as they are
+    again = named.where("doc_id = component").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    again = materialize(again.select(F.col("doc_id").alias("_gone")), "repeated")
+    with_id = docs.where("doc_id IS NOT NULL")
+    out = gone.unionByName(again).hint("merge")  # copies are many: a shuffle join
+    once = with_id.join(out, with_id["doc_id"] == out["_gone"], "left_anti")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    one = with_id.join(again, with_id["doc_id"] == again["_gone"], "left_semi").withColumn("_place", F.row_number().over(first)) \
+        .where("_place = 1").select(*docs.columns)
+    # rows without an id
+    sets = named.where("n > 0").select(F.col("sig").alias("_set")).distinct()
+    nameless = _with_set(docs.where("doc_id IS NULL"), size)
+    nameless = nameless.join(sets, nameless["_sig"] == sets["_set"], "left_anti")
+    by_set = Window.partitionBy("_sig").orderBy("text")
+    other = nameless.where("_sig IS NOT NULL").withColumn("_place", F.row_number().over(by_set)).where("_place = 1")
+    return once.unionByName(one).unionByName(other.select(*docs.columns)) \
+        .unionByName(nameless.where("_sig IS NULL").select(*docs.columns))

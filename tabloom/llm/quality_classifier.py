@@ -16,7 +16,7 @@ label 1 (0.5 without labels). Extra columns are ignored unless named in `keep`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -97,8 +97,8 @@ def fit_rows(rows: list[np.ndarray], label: np.ndarray, s: Settings) -> Model:
         count[label[i], rows[i]] += 1
     ratio = np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
     ratio[count.sum(0) <= 2 * s.smoothing] = 0.0
-    weight, bias = _descend([ratio[rows[i]] for i in train], [rows[i] for i in train],
-                            np.where(label[train] == 1, 1.0, -1.0), size, s)
+    learned = [rows[i] for i in train]
+    weight, bias = _descend(_Values(ratio, learned), learned, np.where(label[train] == 1, 1.0, -1.0), size, s)
     scaled = weight * ratio
     margin = np.array([scaled[rows[i]].sum() / np.sqrt((ratio[rows[i]] ** 2).sum() + 1.0) + bias
                        for i in np.flatnonzero(kept_out)])
@@ -106,6 +106,19 @@ def fit_rows(rows: list[np.ndarray], label: np.ndarray, s: Settings) -> Model:
     return Model(scaled.astype(np.float32), ratio.astype(np.float32), bias, slope, offset, s.bits)
 
 
+class _Values(Sequence):
+    """The values of each row's features, looked up when asked for, so that none are held."""
+
+    def __init__(self, ratio: np.ndarray, rows: list[np.ndarray]):
+        self.ratio, self.rows = ratio, rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.ratio[self.rows[i]]
+
+
 def _descend(values, buckets, sign, size: int, s: Settings) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the hinge loss; rows are scaled to about unit length, the bias is a
     feature that is always 1."""
@@ -174,15 +187,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Se
         .select("_order", "_label", "text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, label_of, rows = [], [], []
+        order, label_of, parts, sizes = [], [], [], []
         for batch in kernel.empty_batches(batches):
             order += batch.column(0).to_pylist()
             label_of += batch.column(1).to_pylist()
             for _, n, text, bucket in features(batch.column(2), settings.bits):
-                cut = np.searchsorted(text, np.arange(n + 1))
-                rows += [bucket[cut[i]:cut[i + 1]].astype(np.int32) for i in range(n)]
+                parts.append(bucket.astype(np.int32))
+                sizes.append(np.bincount(text, minlength=n))
         by = np.argsort(np.array(order, np.int64), kind="stable")
-        model = fit_rows([rows[i] for i in by], np.array(label_of, np.int64)[by], settings)
+        flat = np.concatenate([*parts, np.empty(0, np.int32)])
+        parts.clear()
+        cut = np.concatenate([[0], *sizes]).cumsum()
+        model = fit_rows([flat[cut[i]:cut[i + 1]] for i in by], np.array(label_of, np.int64)[by], settings)
+        flat = None  # the worker goes on to score
         yield pa.RecordBatch.from_pydict({
             "weight": [model.weight.tobytes()], "ratio": [model.ratio.tobytes()], "bias": [model.bias],
             "slope": [model.slope], "offset": [model.offset],

@@ -1,3 +1,6 @@
+import re
+import unicodedata
+
 from tabloom.llm import decontaminate as d
 from tests_llm_rows import rows_of
 
@@ -36,10 +39,59 @@ def test_tokens_have_typed_slots(spark):
     assert words == ["he", "paid", "#3", "#50", "~euros", "to", "@anna", "then", "#12", "~km", "on", "the", "5th"]
 
 
-def brute(texts, items, spark):
-    """All windows against all windows, from the same tokens."""
-    df = spark.createDataFrame([(i, t or "") for i, t in enumerate([*texts, *[t for _, t in items]])], "i long, text string")
-    words = {r["i"]: r["w"] for r in df.select("i", d.tokens(df["text"]).alias("w")).collect()}
+LETTER = r"[^\W_]"
+SPECIAL = set(d.FUNCTION.split("|"))
+
+
+def own_tokens(text, usual):
+    """Template words found character by character, apart from the operator's patterns."""
+    text = "".join(" " if c in "#~@^" else c for c in text or "")
+    out, i, before = [], 0, []
+    units = set(re.sub(r"(\w+)s\?", r"\1|\1s", d.UNITS).split("|"))
+    while i < len(text):
+        if not (text[i].isalnum() or unicodedata.combining(text[i])):
+            i += 1
+            continue
+        j = i
+        while j < len(text) and (text[j].isalnum() or unicodedata.combining(text[j])):
+            j += 1
+        word = text[i:j]
+        digits = re.match(r"\d+", word)
+        if digits and word[digits.end():].lower() in units:
+            out += ["#" + digits[0], "~" + word[digits.end():].lower()]
+        elif digits and digits.end() == len(word):
+            out.append("#" + word)
+            unit = re.match(r"\s*([^\W\d_]+)(?![\w])", text[j:])
+            if unit and unit[1].lower() in units:
+                out.append("~" + unit[1].lower())
+                j += unit.end()
+        elif re.fullmatch("[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+", word) and word not in SPECIAL:
+            inside = i >= 2 and text[i - 1] == " " and (text[i - 2].islower() or text[i - 2].isdigit() or text[i - 2] in ",;")
+            out.append(word.lower() if not inside and word.lower() in usual else "@" + word.lower())
+        else:
+            out.append(word.lower())
+        i = j
+    return out
+
+
+def own_usual(items):
+    """Words that the items write in lower case more often than with a capital inside a sentence."""
+    count = {}
+    for _, text in items:
+        for m in re.finditer(r"[^\W\d_]+", text or ""):
+            w = m[0]
+            if re.fullmatch("[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+", w) and w not in SPECIAL:
+                inside = m.start() >= 2 and text[m.start() - 1] == " " and (text[m.start() - 2].islower() or text[m.start() - 2].isdigit() or text[m.start() - 2] in ",;")
+                count[w.lower()] = count.get(w.lower(), 0) - inside
+            else:
+                count[w.lower()] = count.get(w.lower(), 0) + 1
+    return {w for w, n in count.items() if n > 0}
+
+
+def brute(texts, items):
+    """All windows against all windows, from tokens of our own; a window of plain words counts as well."""
+    usual = own_usual(items)
+    words = [own_tokens(t, usual) for t in [*texts, *[t for _, t in items]]]
 
     def windows(w, k):
         return [w[i:i + k] for i in range(len(w) - k + 1)]
@@ -56,9 +108,11 @@ def brute(texts, items, spark):
             k = min(d.WINDOW, len(w))
             if k < d.LEAST_WORDS:
                 continue
+            bare = [[x.lstrip("@") for x in y] for y in (words[i], w)]
             mine = [shape(x) for x in windows(words[i], k)]
+            mine_bare = [shape(x) for x in windows(bare[0], k)]
             own = windows(w, k)
-            n = sum(shape(x) in mine for x in own)
+            n = sum(shape(x) in mine or shape(y) in mine_bare for x, y in zip(own, windows(bare[1], k)))
             if n >= d.SHARE * len(own):
                 hits.append((-n / len(own), item))
         out[i] = (bool(hits), min(hits)[1] if hits else None)
@@ -73,7 +127,8 @@ def test_equals_all_windows_against_all(spark, monkeypatch):
     items = [(i, " ".join(draw.choice(vocabulary) for _ in range(draw.randint(4, 14)))) for i in range(25)]
     texts = [" ".join([*(draw.choice(vocabulary) for _ in range(10)), draw.choice(items)[1].replace("3", "7").replace("Anna", "Carl"),
                        *(draw.choice(vocabulary) for _ in range(10))]) for _ in range(40)]
-    want = brute(texts, items, spark)
+    texts += [FILL * 3, "a b c d. a b", "c b a. b c", "", "plain words only here", "a c b d. b a c"]
+    want = brute(texts, items)
     assert run(spark, texts, items) == want
     monkeypatch.setattr(d, "TABLE", 64)  # a full bit table only lets more windows through
     monkeypatch.setattr(d, "SMALL_WINDOWS", 1)  # and the join is a shuffle
@@ -121,3 +176,24 @@ def test_copies_in_running_text_and_other_letter_case(spark):
         "the quiz then asked What is the capital city of Spain today", "what is the largest city of France",
     ], items)
     assert [got[i] for i in range(7)] == [(True, 1), (True, 1), (True, 2), (True, 2), (True, 3), (True, 1), (False, None)]
+
+
+def test_german_and_french_names(spark):
+    items = [
+        (1, "Die kleine Anna kauft 12 rote und 5 blaue Bälle. Der große Peter nimmt 3 davon. Wie viele hat Anna noch?"),
+        (2, "Le petit Marc achète 14 pommes et 6 poires au marché. La mère de Marc mange 2 pommes. Combien en reste-t-il à Marc?"),
+    ]
+    got = run(spark, [
+        FILL + items[0][1].replace("Anna", "Greta").replace("Peter", "Karl").replace("12", "30"),
+        FILL + items[1][1].replace("Marc", "Luc").replace("14", "21"),
+        FILL + "Die kleine Anna singt gern. Der große Peter nimmt den Bus. Wie viele Lieder kennt Anna?",
+        FILL + "Le petit Marc dort. La mère de Marc lit un livre. Combien de pages a-t-elle lues?",
+    ], items)
+    assert [got[i] for i in range(4)] == [(True, 1), (True, 2), (False, None), (False, None)]
+
+
+def test_texts_of_common_pairs_of_words(spark):
+    """Windows start at many places when the pairs of the benchmark are common; the result is by whole windows."""
+    items = [(1, "the cat and the dog and the bird and the fish and the cow"), (2, "and the cat sat on the mat")]
+    texts = ["and the " * 50, "the cat and the dog and the bird and the fish and the cow", "dog and the bird and the fish and the", "x and the cat sat on the mat y"]
+    assert run(spark, texts, items) == brute(texts, items)

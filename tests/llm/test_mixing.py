@@ -67,3 +67,27 @@ def test_edges(docs, no_docs):
     got = m.taken(docs)
     assert got.count() == docs.count() and got.where("size = 0 AND taken > 0").count() == 0
     assert m.taken(no_docs).collect() == []
+
+
+def test_a_small_table_has_many_drawn_shards(spark):
+    draw = np.random.default_rng(3)
+    rows = [(i, " ".join(["w"] * int(draw.integers(1, 200))), "abc"[int(draw.choice(3, p=[.2, .3, .5]))]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    _, sources = m.place(df)
+    drawn = m._draws(sources, m.Settings()).toPandas()
+    shares = drawn.pivot(index="shard", columns="rank", values="count").fillna(0).to_numpy()
+    assert len(shares) >= 60 and len(set(shares.sum(1)[:-1])) == 1
+    expected = shares.sum(0) / shares.sum()
+    n = shares.sum(1)[0]
+    spread = ((shares[:-1] - n * expected) ** 2 / (n * expected)).sum() / (2 * (len(shares) - 1))
+    assert 0.5 < spread < 2  # the shards differ as multinomial counts do
+    assert (drawn.sort_values(["rank", "shard"]).groupby("rank")["count"].cumsum() - drawn["count"] == drawn["first"]).all()
+
+
+def test_a_shard_is_drawn_by_itself():
+    owed = np.array([1000, 0, 3, 70_000, 12_345])
+    every = list(m._shards(owed, 100, 5, 0, 10**9))
+    assert [e[0] for e in every] == list(range(len(every))) and sum(e[2] for e in every).tolist() == owed.tolist()
+    for low in (0, 7, 500, len(every) - 1):
+        shard, first, count = next(m._shards(owed, 100, 5, low, low + 1))
+        assert shard == low and (first == every[low][1]).all() and (count == every[low][2]).all()

@@ -50,7 +50,7 @@ def corpus(seed, families=8, copies=14):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed, size, percent, band, family", [(1, 3, 85, 1024, 100_000), (2, 5, 80, 1024, 100_000), (3, 3, 85, 3, 40)])
+@pytest.mark.parametrize("seed, size, percent, band, family", [(1, 3, 85, 1024, 100_000), (2, 5, 80, 1024, 100_000), (3, 3, 85, 3, 40), (4, 3, 60, 1024, 100_000)])
 def test_equals_all_pairs(spark, monkeypatch, seed, size, percent, band, family):
     monkeypatch.setattr(nd, "BAND_BLOCK", band)  # small blocks: groups are cut and met pair by pair
     monkeypatch.setattr(nd, "FAMILY_BLOCK", family)
@@ -91,7 +91,8 @@ def test_edges(docs, no_docs):
     assert got[6]["n_shingles"] == 1 and got[5]["component_id"] == 5
     kept = nd.keep_one(docs)
     assert kept.columns == docs.columns
-    assert rows_of(kept, "doc_id") == sorted([(i,) for i in (1, 1, 3, 4, 5, 6, 7, 8, 9, None, None)], key=repr)
+    assert rows_of(kept, "doc_id", "text") == sorted({(r["doc_id"], r["text"]) for r in docs.collect()
+                                                      if r["doc_id"] != 2 and (r["doc_id"] is not None or r["text"] is None)}, key=repr)
 
 
 def test_a_large_family_of_short_copies_is_cut_by_documents(spark):
@@ -115,3 +116,38 @@ def test_a_large_family_of_short_copies_is_cut_by_documents(spark):
         x, y = find(a), find(b)
         top[max(x, y)] = min(x, y)
     assert {find(i) for i in range(n)} == {0} and len(edges) < blocks * 2 * n
+
+
+def test_bands_follow_from_the_similarity():
+    for percent in (60, 80, 85, 95, 100):
+        rows, bands = nd.bands_for(percent)
+        assert rows * bands <= nd.BUCKETS and (1 - (percent / 100) ** rows) ** bands <= nd.MISS * 1.001
+    assert nd.bands_for(85) == (6, 36)
+    with pytest.raises(ValueError):
+        nd.bands_for(3)
+
+
+def test_rounds_of_components_grow_with_the_logarithm(spark, monkeypatch):
+    seen = []
+
+    def counted(df, label="table"):
+        seen.append(label)
+        return common_materialize(df, label)
+
+    common_materialize = common.materialize
+    monkeypatch.setattr(common, "materialize", counted)
+    for path in ([(i, i + 1) for i in range(1000)], [(1000 - i, 999 - i) for i in range(1000)]):
+        seen.clear()
+        got = common.components(spark.createDataFrame(path, "a long, b long"))
+        assert got.count() == 1001 and got.where("component <> 0").count() == 0
+        assert seen.count("hooks") + seen.count("jumps") <= 14
+
+
+def test_one_row_of_each_component_stays(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(4, long + " x", 0), (4, "quite another text of several words here", 1), (7, long + " y", 2), (None, long + " y", 3),
+            (None, "no id and no copy with an id at all", 4), (None, "no id and no copy with an id at all", 5), (9, long, 6), (None, "", 7), (None, "", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    kept = nd.keep_one(df, 5, 80)
+    got = sorted(r["row"] for r in kept.collect())
+    assert len(got) == 4 and len({0, 1} & set(got)) == 1 and len({4, 5} & set(got)) == 1 and {7, 8} <= set(got)
