@@ -1,19 +1,19 @@
-"""Exact k nearest neighbours as a block join, and the imputer built on it.
+"""Exact k nearest neighbours by a hierarchy of bounding boxes, and the imputer built on it.
 
 Donors of a group are sorted by which columns they have and along a space-filling curve, then cut
-into blocks of at most `DONOR_ROWS` rows; receivers likewise. A block carries its bounding box and
-the columns that all and that any of its rows have. The join pairs receiver blocks with donor blocks
-of the same group whose box may hold a neighbour:
-
-1. every receiver block takes one near donor block as its seed and measures the k-th distance
-   there, which bounds the true k-th distance from above;
-2. coarse boxes (many donor blocks each, at most `COARSE_BLOCKS` in all) and then single boxes that
-   are further away than the bound are dropped;
-3. what is left is measured in Arrow batches, one block pair per row, and only the donors that
-   are among the k nearest of their block leave it.
-
-No group is collected, no pair of rows is emitted, and no candidate that could win is skipped. With
-at most `DIRECT_ROWS` donors the bounds cost more than they save and step 3 runs on all block pairs.
+into blocks of at most `DONOR_ROWS` rows; receivers likewise, into larger blocks. A block carries its
+bounding box and the columns that all and that any of its rows have. `FAN` blocks in a row are a node of
+the next level, and so on up to a level of at most `TOP_NODES` nodes. A search
+
+1. walks every receiver block down to one near node and measures its rows there, which bounds their
+   k-th distances from above;
+2. walks down again, from level to level, and drops every node that is further away than the bound;
+3. sends the donor blocks that are left to the receiver block, nearest first, where each receiver keeps
+   its k best so far, and donors that cannot be among them are told by a matrix product before exact
+   distances are taken. The blocks of one receiver block are dealt to several tasks if they are many.
+
+No group is collected, no pair of rows is emitted, and no candidate that could win is skipped: at most k
+donors per receiver leave a task, by distance and then lowest id.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tabloom.operators.profile import any_null, col
 from tabloom.operators.scale import group_statistics, scale_in_group, scale_statistics
@@ -32,9 +33,12 @@ from tabloom.operators.state import StateModel, replace
 from tabloom.storage import materialize
 
 DONOR_ROWS = 256  # powers of two: a block number is a shifted row number
-RECEIVER_ROWS = 64
-COARSE_BLOCKS = 32_768
-DIRECT_ROWS = 500_000
+RECEIVER_ROWS = 2048
+FAN = 4  # bits of a block number that a level takes off: a node has up to 16 children
+TOP_NODES = 64
+SHARE = 128  # donor blocks that one receiver block meets in one task
+TASK_PAIRS = 512  # pairs of blocks in a task, on average
+PATTERN_BITS = 63  # columns whose presence is told by a pattern; further ones are taken as unknown
 SLACK = 1 + 1e-9  # bounds come from another engine's arithmetic
 
 ANY = -1  # target of a plain search: every donor qualifies
@@ -44,15 +48,25 @@ def _xs(p: int) -> list[str]:
     return [f"x{j}" for j in range(p)]
 
 
+def whole_key(df: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """The frame and a column of whole numbers that names its rows: the key itself, or for a key of another
+    type a new column __key, in the order of the keys."""
+    if isinstance(df.select(col(key)).schema[0].dataType, IntegralType):
+        return df, key
+    names = df.select(col(key).alias("__name")).distinct().repartitionByRange("__name").sortWithinPartitions("__name")
+    names = materialize(names.withColumn("__key", F.monotonically_increasing_id()), "keys")
+    return df.join(names, col(key).eqNullSafe(F.col("__name"))).drop("__name"), "__key"
+
+
 def _points(df: DataFrame, key: str, group: str | None, cols: list[str]) -> DataFrame:
-    """(id, g, x0.., pattern): pattern has bit j set when x_j is present."""
+    """(id, g, x0.., pattern): pattern has bit j set when x_j is present, for the first `PATTERN_BITS`."""
     xs = _xs(len(cols))
     named = df.select(
         col(key).cast("bigint").alias("id"),
         (F.lit("") if group is None else col(group).cast("string")).alias("g"),
         *[col(c).cast("double").alias(x) for c, x in zip(cols, xs)],
     )
-    bits = " + ".join(f"if({x} is null, 0L, {1 << j}L)" for j, x in enumerate(xs))
+    bits = " + ".join(f"if({x} is null, 0L, {1 << j}L)" for j, x in enumerate(xs[:PATTERN_BITS]))
     return named.selectExpr("*", f"{bits} as pattern")
 
 
@@ -100,7 +114,8 @@ def build_donors(points: DataFrame, ranges: list[list[float]], k: int) -> DataFr
     """Packed donor table. Of donors equal in everything only the k lowest ids can ever be chosen,
     so the rest are left out; the rank filter runs before the shuffle as well."""
     same = Window.partitionBy("g", "pattern", *_xs(len(ranges))).orderBy("id")
-    kept = points.where(F.col("pattern") > 0).withColumn("r", F.row_number().over(same))
+    some = F.coalesce(*_xs(len(ranges))).isNotNull()
+    kept = points.where(some).withColumn("r", F.row_number().over(same))
     return _pack(kept.where(F.col("r") <= k).drop("r"), ["g"], ranges, DONOR_ROWS, "donors")
 
 
@@ -110,19 +125,21 @@ def _boxed(df: DataFrame, side: str, p: int, extra: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in names])
 
 
-def _usable(held: str = "d_some") -> Column:
-    """A donor of the block may share a column with the receiver and hold the target."""
+def _usable(p: int) -> Column:
+    """A donor of the node may share a column with the receiver and hold the target."""
+    if p > PATTERN_BITS:
+        return F.lit(True)
     return F.expr(
-        f"bit_count(r_some & {held}) > 0 and (r_target = {ANY} or (shiftright({held}, r_target) & 1) = 1)")
+        f"bit_count(r_some & d_some) > 0 and (r_target = {ANY} or (shiftright(d_some, r_target) & 1) = 1)")
 
 
 def _least_distance(p: int) -> Column:
     """Squared distance below which no pair of the two boxes can be. Only columns that all rows of
-    both blocks have are counted, and the weight is that of the most columns any pair can share."""
+    both have are counted, and the weight is that of the most columns any pair can share."""
     gaps = " + ".join(
         f"if((shiftright(r_every & d_every, {j}) & 1) = 1, "
-        f"pow(greatest(0d, d_lo{j} - r_hi{j}, r_lo{j} - d_hi{j}), 2), 0d)" for j in range(p))
-    return F.expr(f"({gaps}) * {p}d / bit_count(r_some & d_some)")
+        f"pow(greatest(0d, d_lo{j} - r_hi{j}, r_lo{j} - d_hi{j}), 2), 0d)" for j in range(min(p, PATTERN_BITS)))
+    return F.expr(f"({gaps})" + ("" if p > PATTERN_BITS else f" * {p}d / bit_count(r_some & d_some)"))
 
 
 def _centre_distance(p: int) -> Column:
@@ -131,88 +148,175 @@ def _centre_distance(p: int) -> Column:
         f"pow(coalesce(d_lo{j} + d_hi{j} - r_lo{j} - r_hi{j}, 0d), 2)" for j in range(p)))
 
 
-def _matrix(cell, p: int) -> np.ndarray:
-    return cell.values.to_numpy(zero_copy_only=False).reshape(-1, p)
-
-
-def _ids(cell) -> np.ndarray:
-    return cell.values.to_numpy(zero_copy_only=False)
-
-
-def _distances(r: np.ndarray, d: np.ndarray, target: int) -> np.ndarray:
-    """Squared distances over shared columns, scaled by all / shared; inf when none is shared or
-    the donor lacks the target."""
+def _numbered(donors: DataFrame) -> tuple[DataFrame, int]:
+    """Donor blocks with numbers without gaps in place of the ones that their tasks gave, and how many
+    numbers there are. One count per task of the sort comes to the driver."""
+    bits = 33 - int(math.log2(DONOR_ROWS))
+    part, inside = F.shiftright("block", bits), F.col("block").bitwiseAND(F.lit((1 << bits) - 1))
+    counts = donors.groupBy(part.alias("part")).agg((F.max(inside) + 1).alias("n")).orderBy("part").collect()
+    first, total = [], 0
+    for r in counts:
+        first.append((r["part"], total))
+        total += r["n"]
+    offsets = donors.sparkSession.createDataFrame(first, "part long, first long")
+    placed = donors.join(F.broadcast(offsets), part == F.col("part"))
+    return placed.withColumn("block", F.col("first") + inside).drop("part", "first"), total
+
+
+def _levels(donors: DataFrame, p: int) -> list[DataFrame]:
+    """Nodes from the donor blocks up: d_name, d_up (name of the node above), box and size."""
+    numbered, total = _numbered(donors)
+    fine = _boxed(numbered, "d", p, ["block"])
+    levels, shift = [fine], 0
+    while (total >> shift) > TOP_NODES:
+        shift += FAN
+        name = F.concat_ws("/", F.shiftright("d_block", FAN), "d_g")
+        below = levels[-1].withColumn("d_up", name)
+        levels[-1] = below
+        levels.append(materialize(below.groupBy(F.col("d_up").alias("d_name"), "d_g", F.shiftright("d_block", FAN).alias("d_block")).agg(
+            F.sum("d_n").alias("d_n"), F.bit_and("d_every").alias("d_every"), F.bit_or("d_some").alias("d_some"),
+            *[F.min(f"d_lo{j}").alias(f"d_lo{j}") for j in range(p)],
+            *[F.max(f"d_hi{j}").alias(f"d_hi{j}") for j in range(p)]), "nodes"))
+    return levels
+
+
+class _Best:
+    """The k best donors so far of each row of a receiver block."""
+
+    def __init__(self, ids, xs: np.ndarray, target: int, bound: float, k: int, exclude_self: bool):
+        self.ids, self.xs, self.target, self.k, self.exclude_self = ids, xs, target, k, exclude_self
+        self.limit = np.full(len(ids), bound)  # no donor further away can be among the k best
+        self.has = ~np.isnan(xs)
+        self.centre = np.where(self.has, xs, 0.0).sum(0) / np.maximum(self.has.sum(0), 1)
+        self.plain = np.where(self.has, xs - self.centre, 0.0)
+        self.square = (self.plain**2).sum(1)
+        self.at, self.d2, self.donor, self.value = (np.empty(0, t) for t in (np.int64, float, np.int64, float))
+
+    def _near(self, xs: np.ndarray, has: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that may be within the limits. Distances from products are a little off, so the limits
+        are widened by more than that."""
+        p = xs.shape[1]
+        plain = np.where(has, xs - self.centre, 0.0)
+        square = (plain**2).sum(1)
+        slack = 1e-13 * p * (self.square.max() + square.max()) * p
+        if self.has.all() and has.all():
+            about = self.square[:, None] + square - 2 * (self.plain @ plain.T)
+            ok = about <= (self.limit * SLACK + slack)[:, None]
+        else:
+            mine, theirs = self.has.astype(float), has.astype(float)
+            about = self.plain**2 @ theirs.T + mine @ (plain**2).T - 2 * (self.plain @ plain.T)
+            shared = mine @ theirs.T
+            with np.errstate(invalid="ignore"):  # no column shared and no limit
+                ok = (about * p <= ((self.limit * SLACK)[:, None] * shared + slack)) | np.isinf(self.limit)[:, None]
+            ok &= shared > 0
+        if self.target != ANY:
+            ok &= has[:, self.target]
+        return np.nonzero(ok)
+
+    def add(self, ids: np.ndarray, xs: np.ndarray, least: float) -> None:
+        if least > self.limit.max() * SLACK:
+            return
+        at, of = self._near(xs, ~np.isnan(xs))
+        if self.exclude_self:
+            other = self.ids[at] != ids[of]
+            at, of = at[other], of[other]
+        if not len(at):
+            return
+        d2 = _distances(self.xs[at], xs[of])
+        in_reach = np.isfinite(d2) & (d2 <= self.limit[at] * SLACK)
+        at, of, d2 = at[in_reach], of[in_reach], d2[in_reach]
+        if not len(at):
+            return
+        # only receivers with a new candidate are ranked anew
+        touched = np.zeros(len(self.ids), bool)
+        touched[at] = True
+        old = touched[self.at]
+        values = xs[of, self.target] if self.target != ANY else np.zeros(len(of))
+        new = [np.concatenate([a[old], b]) for a, b in zip((self.at, self.d2, self.donor, self.value), (at, d2, ids[of], values))]
+        order = np.lexsort((new[2], new[1], new[0]))
+        new = [a[order] for a in new]
+        start = np.flatnonzero(np.diff(new[0], prepend=-1))
+        place = np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order))))
+        last = place == self.k - 1
+        self.limit[new[0][last]] = np.minimum(self.limit[new[0][last]], new[1][last])
+        kept = place < self.k
+        self.at, self.d2, self.donor, self.value = (
+            np.concatenate([a[~old], b[kept]]) for a, b in zip((self.at, self.d2, self.donor, self.value), new))
+
+
+def _distances(r: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Squared distances of pairs of rows over shared columns, scaled by all / shared; inf when none is."""
     p = r.shape[1]
-    r_has, d_has = ~np.isnan(r), ~np.isnan(d)
-    total = np.zeros((len(r), len(d)))
-    r_full, d_full = r_has.all(axis=0), d_has.all(axis=0)
+    total, shared = np.zeros(len(r)), np.zeros(len(r))
     for j in range(p):
-        gap = r[:, j, None] - d[None, :, j]
+        gap = r[:, j] - d[:, j]
         gap *= gap
-        total += gap if r_full[j] and d_full[j] else np.nan_to_num(gap)
-    if r_full.all() and d_full.all():
-        out = total
-    else:
-        shared = r_has.astype(float) @ d_has.T.astype(float)
-        out = np.where(shared > 0, total * (p / np.maximum(shared, 1.0)), np.inf)
-    if target != ANY:
-        out[:, ~d_has[:, target]] = np.inf
-    return out
-
-
-def _block_distances(b: pa.RecordBatch, i: int, p: int, exclude_self: bool):
-    """(receiver ids, donor ids, donor rows, target, distances) of the i-th block pair."""
-    rid, did, target = _ids(b["r_ids"][i]), _ids(b["d_ids"][i]), b["r_target"][i].as_py()
-    donors = _matrix(b["d_xs"][i], p)
-    d2 = _distances(_matrix(b["r_xs"][i], p), donors, target)
-    if exclude_self:
-        d2[np.equal.outer(rid, did)] = np.inf
-    return rid, did, donors, target, d2
+        there = ~np.isnan(gap)
+        shared += there
+        total += np.where(there, gap, 0.0)
+    return np.where(shared > 0, total * (p / np.maximum(shared, 1.0)), np.inf)
+
+
+def _met(batches: Iterator[pa.RecordBatch], p: int, k: int, exclude_self: bool) -> Iterator[tuple[str, _Best]]:
+    """Each receiver block after it has met its donor blocks. A block's own row comes first, with the bound in
+    place of the distance."""
+    name, best = None, None
+    for b in batches:
+        names, shares, own, least = (b[c].to_pylist() for c in ("r_name", "share", "own", "least"))
+        for i in range(b.num_rows):
+            ids = b["ids"][i].values.to_numpy(zero_copy_only=False)
+            xs = b["xs"][i].values.to_numpy(zero_copy_only=False).reshape(-1, p)
+            if own[i] == 0:
+                if best is not None:
+                    yield name, best
+                name, best = names[i], _Best(ids, xs, b["target"][i].as_py(), least[i], k, exclude_self)
+            else:
+                best.add(ids, xs, least[i])
+    if best is not None:
+        yield name, best
 
 
 def _bounds_kernel(p: int, k: int, exclude_self: bool):
-    """Per receiver block: the largest k-th distance of its receivers inside the seed block."""
+    """Per receiver block: the largest k-th distance of its rows among the donors met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bounds = []
-            for i in range(b.num_rows):
-                *_, d2 = _block_distances(b, i, p, exclude_self)
-                full = d2.shape[1] >= k
-                bounds.append(float(np.partition(d2, k - 1, axis=1)[:, k - 1].max()) if full else np.inf)
-            yield pa.RecordBatch.from_arrays(
-                [b["r_name"], pa.array(bounds, pa.float64())], names=["r_name", "bound"])
+        for name, best in _met(batches, p, k, exclude_self):
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([float(best.limit.max())])], names=["r_name", "bound"])
 
     return run
 
 
 def _neighbours_kernel(p: int, k: int, exclude_self: bool):
-    """Per block pair: every donor as near as the k-th of its receiver, ties included; the ranking
-    over all blocks decides among them."""
+    """Per receiver: the k best donors met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            parts = []
-            for i in range(b.num_rows):
-                rid, did, donors, target, d2 = _block_distances(b, i, p, exclude_self)
-                near = np.isfinite(d2)
-                if d2.shape[1] > k:
-                    near &= d2 <= np.partition(d2, k - 1, axis=1)[:, k - 1 : k]
-                at, of = np.nonzero(near)
-                values = donors[of, target] if target != ANY else np.zeros(len(of))
-                parts.append((rid[at], np.full(len(at), target, dtype=np.int32), did[of], d2[at, of], values))
-            if parts:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in zip(*parts)],
-                    names=["id", "target", "donor", "d2", "value"],
-                )
+        for _, best in _met(batches, p, k, exclude_self):
+            target = np.full(len(best.at), best.target, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (best.ids[best.at], target, best.donor, best.d2, best.value)],
+                                             names=["id", "target", "donor", "d2", "value"])
 
     return run
 
 
+def _meeting(packed: DataFrame, bounds: DataFrame, pairs: DataFrame, donors: DataFrame) -> DataFrame:
+    """Rows for `_met`: receiver blocks and, nearest first, the donor blocks of `pairs` (r_name, d_name, least);
+    a receiver block with many pairs is dealt to several tasks."""
+    shares = pairs.groupBy("r_name").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
+    met = pairs.join(shares, "r_name").select(
+        "r_name", F.pmod(F.xxhash64("d_name"), F.col("shares")).cast("int").alias("share"), "d_name", "least")
+    cells = donors.select(F.col("name").alias("d_name"), "ids", "xs")
+    theirs = met.join(cells, "d_name").select("r_name", "share", F.lit(1).alias("own"), "least", F.lit(ANY).alias("target"), "ids", "xs")
+    own = packed.join(shares, packed["name"] == shares["r_name"]).join(bounds.withColumnRenamed("r_name", "_r"), F.col("name") == F.col("_r"), "left") \
+        .select("r_name", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("own"),
+                (F.coalesce("bound", F.lit(float("inf"))) * SLACK).alias("least"), "target", "ids", "xs")
+    # a pair is little data and much work, so tasks are made by number and not by size
+    tasks = max(1, -(-pairs.count() // TASK_PAIRS))
+    every = own.unionByName(theirs).repartition(tasks, "r_name", "share").sortWithinPartitions("r_name", "share", "own", "least")
+    return every.select("r_name", "share", "own", "least", "target", "ids", "xs")
+
+
 def nearest(
-    receivers: DataFrame, donors: DataFrame, ranges: list[list[float]], k: int,
-    exclude_self: bool = False, direct_rows: int | None = None,
+    receivers: DataFrame, donors: DataFrame, ranges: list[list[float]], k: int, exclude_self: bool = False,
 ) -> DataFrame:
     """(id, target, donor, d2, value): the k nearest donors of every receiver and target.
 
@@ -220,49 +324,36 @@ def nearest(
     table of `build_donors`, built with at least k, or k + 1 when a row may not find itself.
     """
     p = len(ranges)
-    direct_rows = DIRECT_ROWS if direct_rows is None else direct_rows
     packed = _pack(receivers, ["g", "target"], ranges, RECEIVER_ROWS, "receivers")
-    r_cells = packed.select(F.col("name").alias("r_name"), F.col("ids").alias("r_ids"), F.col("xs").alias("r_xs"))
-    d_cells = donors.select(F.col("name").alias("d_name"), F.col("ids").alias("d_ids"), F.col("xs").alias("d_xs"))
-    r_box, d_box = _boxed(packed, "r", p, ["target"]), _boxed(donors, "d", p, ["block"])
-    held = donors.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    same_group = F.col("r_g") == F.col("d_g")
-
-    if held[0] <= direct_rows:
-        pairs = r_box.join(d_box, same_group & _usable())
-    else:
-        shift = max(0, math.ceil(math.log2(held[1] / COARSE_BLOCKS)))
-        fine = d_box.withColumn("d_coarse", F.concat_ws("/", F.shiftright("d_block", shift), "d_g"))
-        top = materialize(
-            fine.groupBy(F.col("d_coarse").alias("d_name"), "d_g").agg(
-                F.max("d_n").alias("d_n"),
-                F.bit_and("d_every").alias("d_every"), F.bit_or("d_some").alias("d_some"),
-                *[F.min(f"d_lo{j}").alias(f"d_lo{j}") for j in range(p)],
-                *[F.max(f"d_hi{j}").alias(f"d_hi{j}") for j in range(p)],
-            ), "coarse")
+    r_box = _boxed(packed, "r", p, ["target"])
+    levels = _levels(donors, p)
+    same_group, usable = F.col("r_g") == F.col("d_g"), _usable(p)
+    bounds = receivers.sparkSession.createDataFrame([], "r_name string, bound double")
+    if len(levels) > 1:
         enough = F.col("d_n") >= k + int(exclude_self)
-        near = F.min_by("d_name", _centre_distance(p)).alias("seed")
-        first = r_box.join(top, same_group & _usable() & enough).groupBy("r_name").agg(near)
-        hop = r_box.join(first, "r_name").join(fine, F.col("seed") == F.col("d_coarse"))
-        seeds = hop.where(_usable() & enough).groupBy("r_name", "r_target").agg(near)
-        measured = seeds.join(r_cells, "r_name").join(d_cells, F.col("seed") == F.col("d_name"))
-        bounds = measured.select("r_name", "r_target", "r_ids", "r_xs", "d_ids", "d_xs").mapInArrow(
-            _bounds_kernel(p, k, exclude_self), "r_name string, bound double")
-        bounds = materialize(bounds, "bounds")
-        # A block without a seed has too few donors for a bound and keeps all of them.
-        reach = r_box.join(bounds, "r_name", "left").withColumn(
-            "bound", F.coalesce(F.col("bound") * SLACK, F.lit(float("inf"))))
-        close = _least_distance(p) <= F.col("bound")
-        hits = reach.join(top, same_group & _usable() & close).select(*reach.columns, F.col("d_name").alias("c"))
-        pairs = hits.join(fine.drop("d_g"), (F.col("c") == F.col("d_coarse")) & _usable() & close)
-
-    # A pair is little data and much work, so tasks are made by number and not by size.
-    pairs = pairs.select("r_name", "r_target", "d_name").repartition(
-        receivers.sparkSession.sparkContext.defaultParallelism)
-    tasks = pairs.join(r_cells, "r_name").join(d_cells, "d_name")
-    found = tasks.select("r_target", "r_ids", "r_xs", "d_ids", "d_xs").mapInArrow(
-        _neighbours_kernel(p, k, exclude_self),
-        "id bigint, target int, donor bigint, d2 double, value double")
+        near = F.min_by("d_name", _centre_distance(p)).alias("node")
+        chosen = r_box.join(levels[-1], same_group & usable & enough).groupBy("r_name").agg(near)
+        for level in reversed(levels[1:-1]):
+            below = r_box.join(chosen, "r_name").join(level, F.col("node") == F.col("d_up"))
+            deeper = below.where(usable & enough).groupBy("r_name").agg(near.alias("deeper"))
+            chosen = chosen.join(deeper, "r_name").select("r_name", F.col("deeper").alias("node"))
+        seeds = r_box.join(chosen, "r_name").join(levels[0], F.col("node") == F.col("d_up")).where(usable) \
+            .select("r_name", "d_name", _least_distance(p).alias("least"))
+        bounds = materialize(_meeting(packed, bounds, materialize(seeds, "seeds"), donors).mapInArrow(
+            _bounds_kernel(p, k, exclude_self), "r_name string, bound double"), "bounds")
+        # parts of a receiver block's seeds may have been measured apart; any of them is a bound
+        bounds = bounds.groupBy("r_name").agg(F.min("bound").alias("bound"))
+    # a block without a seed has too few donors for a bound and keeps all of them
+    reach = r_box.join(bounds, "r_name", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))) * SLACK)
+    close = usable & (_least_distance(p) <= F.col("bound"))
+    pairs = reach.join(levels[-1], same_group & close).select("r_name", "d_name", _least_distance(p).alias("least"))
+    for level in reversed(levels[:-1]):
+        on = (F.col("node") == F.col("d_up")) & close
+        pairs = pairs.select("r_name", F.col("d_name").alias("node")).join(reach, "r_name") \
+            .join(level, on).select("r_name", "d_name", _least_distance(p).alias("least"))
+    pairs = materialize(pairs, "pairs")
+    found = _meeting(packed, bounds, pairs, donors).mapInArrow(
+        _neighbours_kernel(p, k, exclude_self), "id bigint, target int, donor bigint, d2 double, value double")
     best = Window.partitionBy("id", "target").orderBy("d2", "donor")
     return found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
 
@@ -275,10 +366,10 @@ def fit_imputer(
     means = scale_statistics(train, cols, "standard")
     numbers = {"key": key, "columns": cols, "k": k, "group": group, "fallback": means}
     tables = {}
-    scaled = train
+    scaled, key = whole_key(train, key)
     if group is not None:
         tables["scale"] = group_statistics(train.where(col(group).isNotNull()), group, cols)
-        scaled = scale_in_group(train, tables["scale"], group, cols, means)
+        scaled = scale_in_group(scaled, tables["scale"], group, cols, means)
     points = _points(scaled, key, group, cols)
     numbers["ranges"] = _ranges(points, len(cols))
     tables["donors"] = build_donors(points, numbers["ranges"], k)
@@ -290,7 +381,9 @@ class KnnImputerModel(StateModel):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         n = self.numbers
-        key, cols, group, means = n["key"], n["columns"], n["group"], n["fallback"]
+        cols, group, means = n["columns"], n["group"], n["fallback"]
+        columns = df.columns
+        df, key = whole_key(df, n["key"])
         gaps = any_null(cols)
         whole, broken = df.where(~gaps), df.where(gaps)
         work = broken
@@ -317,4 +410,4 @@ class KnnImputerModel(StateModel):
             filled = back.join(before, key).select(*replace(df, {
                 c: F.coalesce(F.col(f"__b{j}").cast("double"), col(c)) for j, c in enumerate(cols)}))
         doubles = {c: col(c).cast("double") for c in cols}
-        return whole.select(*replace(df, doubles)).unionByName(filled)
+        return whole.select(*replace(df, doubles)).unionByName(filled).select(*[col(c) for c in columns])

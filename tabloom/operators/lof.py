@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.knn import ANY, _points, _ranges, build_donors, nearest
+from tabloom.operators.knn import ANY, _points, _ranges, build_donors, nearest, whole_key
 from tabloom.operators.profile import any_null, col
 from tabloom.operators.quantiles import exact_quantiles
 from tabloom.operators.state import StateModel
@@ -34,11 +34,11 @@ def _receivers(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 
 def fit(train: DataFrame, key: str, cols: list[str], k: int, contamination: float) -> "LofModel":
     """Rows need every model column; impute first, rows with a NULL are left out of the fit."""
-    present = train.where(~any_null(cols))
-    points = _points(present, key, None, cols)
+    present, own = whole_key(train.where(~any_null(cols)), key)
+    points = _points(present, own, None, cols)
     ranges = _ranges(points, len(cols))
     donors = build_donors(points, ranges, k + 1)
-    found = materialize(nearest(_receivers(present, key, cols), donors, ranges, k, exclude_self=True), "near")
+    found = materialize(nearest(_receivers(present, own, cols), donors, ranges, k, exclude_self=True), "near")
     reach = found.groupBy("id").agg(F.sqrt(F.max("d2")).alias("kdist"))
     state = reach.join(_density(found, reach), "id")
     state = materialize(state, "density")
@@ -52,15 +52,20 @@ class LofModel(StateModel):
     """Scores rows as new points against the training rows and keeps those at or above the cut."""
 
     def scores(self, df: DataFrame) -> DataFrame:
+        """(id, score): id is the key."""
         n = self.numbers
-        present = df.where(~any_null(n["columns"]))
-        found = nearest(_receivers(present, n["key"], n["columns"]), self.tables["donors"], n["ranges"], n["k"])
+        present, key = whole_key(df.where(~any_null(n["columns"])), n["key"])
+        found = nearest(_receivers(present, key, n["columns"]), self.tables["donors"], n["ranges"], n["k"])
         found = materialize(found, "near")
         state = self.tables["state"]
-        return _factor(found, _density(found, state), state)
+        scored = _factor(found, _density(found, state), state)
+        if key == n["key"]:
+            return scored
+        names = present.select(F.col(key).alias("id"), col(n["key"]).alias("__name"))
+        return scored.join(names, "id").select(F.col("__name").alias("id"), "score")
 
     def _transform(self, df: DataFrame) -> DataFrame:
         """Rows with a missing model column cannot be scored and stay."""
         gone = self.scores(df).where(F.col("score") < self.numbers["cut"])
-        keys = materialize(gone.select(F.col("id").alias(self.numbers["key"])), "outliers")
-        return df.join(keys, self.numbers["key"], "left_anti")
+        keys = materialize(gone.select(F.col("id").alias("__gone")), "outliers")
+        return df.join(keys, col(self.numbers["key"]) == F.col("__gone"), "left_anti")

@@ -130,11 +130,25 @@ def impute_knn_group_apply(spark, sf):
     return fill_by_imputed_train(numbers(spark, sf))
 
 
-@query("impute_knn")
+def _nearest_sql(target: str) -> str:
+    """Mean of the five nearest train rows that have the target, over the columns both rows have."""
+    gaps = " + ".join(f"coalesce((q.{c} - d.{c}) * (q.{c} - d.{c}), 0.0::DOUBLE)" for c in METRIC)
+    shared = " + ".join(f"CAST(q.{c} IS NOT NULL AND d.{c} IS NOT NULL AS INTEGER)" for c in METRIC)
+    return f"""SELECT id, list_avg(list_transform(near, lambda x: x.v)) AS fill FROM (
+        SELECT q.car_id AS id, min({{'d': ({gaps}) * ({len(METRIC)}.0::DOUBLE / ({shared})), 'i': d.car_id, 'v': d.{target}}}, 5) AS near
+        FROM numbers q JOIN numbers d ON q.{target} IS NULL AND d.{target} IS NOT NULL AND d.split = 'train' AND {shared} > 0
+        GROUP BY q.car_id)"""
+
+
+@query("impute_knn", sql(
+    "SELECT car_id, brand, split, " + ", ".join(r(f"coalesce({c}, f_{c}.fill, (SELECT avg({c}) FROM train))", c) for c in METRIC)
+    + " FROM numbers " + " ".join(f"LEFT JOIN f_{c} ON f_{c}.id = car_id" for c in METRIC), "split_cars", "train",
+    numbers="SELECT car_id, brand, split, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in METRIC) + " FROM split_cars",
+    **{f"f_{c}": _nearest_sql(c) for c in METRIC}))
 def impute_knn(spark, sf):
     rows = numbers(spark, sf)
     stage = I.MissingValues(method="knn", columns=METRIC, neighbors=5)
-    return stage.fit(_train(rows)).transform(rows)
+    return rounded(stage.fit(_train(rows)).transform(rows))
 
 
 @query("impute_iterative")

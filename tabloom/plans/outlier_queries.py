@@ -91,6 +91,34 @@ def isolation_forest(spark, sf):
     return _removed(spark, sf, "Isolation_Forest")
 
 
-@query("local_outlier_factor")
+_LOF_ROWS = "SELECT car_id, split, " + ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), (SELECT avg({c}) FROM train)) AS {c}" for c in _MODEL) + " FROM split_cars"
+
+
+def _near_sql(rows: str, others: bool) -> str:
+    """The 20 nearest train rows of each row, as (id, d2, donor); without itself with `others`."""
+    d2 = " + ".join(f"(q.{c} - d.{c}) * (q.{c} - d.{c})" for c in _MODEL)
+    return f"""SELECT id, near.d AS d2, near.i AS donor FROM (
+        SELECT q.car_id AS id, unnest(min({{'d': {d2}, 'i': d.car_id}}, 20)) AS near
+        FROM {rows} q JOIN complete d ON d.split = 'train' {"AND q.car_id <> d.car_id" if others else ""} GROUP BY q.car_id)"""
+
+
+def _density_sql(near: str) -> str:
+    return (f"SELECT n.id, 1.0::DOUBLE / (avg(greatest(k.kdist, sqrt(n.d2))) + 1e-10) AS density "
+            f"FROM {near} n JOIN reach k ON k.id = n.donor GROUP BY n.id")
+
+
+def _factor_sql(near: str, own: str) -> str:
+    return f"""SELECT n.id, -avg(t.density) / any_value(o.density) AS score
+        FROM {near} n JOIN dense t ON t.id = n.donor JOIN {own} o ON o.id = n.id GROUP BY n.id"""
+
+
+@query("local_outlier_factor", sql(
+    "SELECT car_id, split, " + ", ".join(r(c, c) for c in _MODEL) + """ FROM complete JOIN scores ON id = car_id
+    WHERE score >= (SELECT quantile_cont(score, 0.05) FROM fitted)""", "split_cars", "train",
+    complete=_LOF_ROWS, learned="SELECT * FROM complete WHERE split = 'train'",
+    near=_near_sql("learned", True), reach="SELECT id, sqrt(max(d2)) AS kdist FROM near GROUP BY id",
+    dense=_density_sql("near"), fitted=_factor_sql("near", "dense"), near_new=_near_sql("complete", False),
+    dense_new=_density_sql("near_new"), scores=_factor_sql("near_new", "dense_new")))
 def local_outlier_factor(spark, sf):
-    return _removed(spark, sf, "LOF")
+    return rounded(_removed(spark, sf, "LOF"))

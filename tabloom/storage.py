@@ -28,8 +28,21 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: Stage tables that this process wrote and has not dropped.
+_written: list[str] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the stage tables written so far. Frames and models that still read them can no longer be used."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

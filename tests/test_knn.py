@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tabloom.operators import knn, lof
 from tabloom.operators.impute import MissingValues
@@ -43,21 +44,23 @@ def collected(df, cols):
     return np.array([[np.nan if r[c] is None else r[c] for c in cols] for r in rows])
 
 
-@pytest.mark.parametrize("direct", [10**6, 0])
-def test_whole_table_imputer(spark, monkeypatch, direct):
-    monkeypatch.setattr(knn, "DIRECT_ROWS", direct)
+@pytest.mark.parametrize("top, share", [(10**6, 128), (2, 3)])
+def test_whole_table_imputer(spark, monkeypatch, top, share):
+    monkeypatch.setattr(knn, "TOP_NODES", top)
+    monkeypatch.setattr(knn, "FAN", 1)
+    monkeypatch.setattr(knn, "SHARE", share)
     monkeypatch.setattr(knn, "DONOR_ROWS", 16)
     monkeypatch.setattr(knn, "RECEIVER_ROWS", 8)
-    monkeypatch.setattr(knn, "COARSE_BLOCKS", 8)
     df, x, _, cols = table(spark)
     model = MissingValues(method="knn", columns=cols, neighbors=5).fit(df)
     got = collected(model.transform(df), cols)
     np.testing.assert_allclose(got, brute_fill(x, x, 5, np.nanmean(x, axis=0)), atol=1e-9)
 
 
-@pytest.mark.parametrize("direct", [10**6, 0])
-def test_imputer_by_group(spark, monkeypatch, direct):
-    monkeypatch.setattr(knn, "DIRECT_ROWS", direct)
+@pytest.mark.parametrize("top", [10**6, 2])
+def test_imputer_by_group(spark, monkeypatch, top):
+    monkeypatch.setattr(knn, "TOP_NODES", top)
+    monkeypatch.setattr(knn, "FAN", 1)
     monkeypatch.setattr(knn, "DONOR_ROWS", 16)
     monkeypatch.setattr(knn, "RECEIVER_ROWS", 8)
     df, x, g, cols = table(spark, n=300, rare=(7, 8, 9), quarters=False)
@@ -82,7 +85,7 @@ def test_unseen_group_takes_training_mean(spark):
 
 
 def test_repeated_donors_keep_the_lowest_ids(spark, monkeypatch):
-    monkeypatch.setattr(knn, "DIRECT_ROWS", 0)
+    monkeypatch.setattr(knn, "TOP_NODES", 1)
     rows = [(i, "a", 1.0, float(i % 3)) for i in range(200)] + [(1000, "a", 1.0, None)]
     df = spark.createDataFrame(rows, "car_id long, brand string, c0 double, c1 double")
     model = MissingValues(method="knn", columns=["c0", "c1"], neighbors=5).fit(df)
@@ -117,9 +120,10 @@ def brute_lof(train, query, k, own):
     return -density[qa].mean(1) / mine
 
 
-@pytest.mark.parametrize("direct", [10**6, 0])
-def test_local_outlier_factor(spark, monkeypatch, direct):
-    monkeypatch.setattr(knn, "DIRECT_ROWS", direct)
+@pytest.mark.parametrize("top", [10**6, 2])
+def test_local_outlier_factor(spark, monkeypatch, top):
+    monkeypatch.setattr(knn, "TOP_NODES", top)
+    monkeypatch.setattr(knn, "FAN", 1)
     monkeypatch.setattr(knn, "DONOR_ROWS", 16)
     rng = np.random.default_rng(5)
     x = np.vstack([rng.normal(size=(190, 2)), rng.uniform(6, 9, size=(10, 2))])
@@ -132,3 +136,53 @@ def test_local_outlier_factor(spark, monkeypatch, direct):
     np.testing.assert_allclose(got, want, rtol=1e-9)
     kept = {r["car_id"] for r in model.transform(df).collect()}
     assert kept == set(np.flatnonzero(want >= model.numbers["cut"]).tolist())
+
+
+def test_keys_that_are_no_numbers(spark):
+    df, x, _, cols = table(spark, n=120)
+    named = df.withColumn("car_id", F.concat(F.lit("car-"), F.lpad(F.col("car_id").cast("string"), 4, "0")))
+    model = MissingValues(method="knn", columns=cols, neighbors=5).fit(named)
+    got = model.transform(named)
+    assert got.columns == named.columns
+    np.testing.assert_allclose(collected(got, cols), brute_fill(x, x, 5, np.nanmean(x, axis=0)), atol=1e-9)
+    whole = named.na.drop(subset=cols)
+    lof_model = Outliers(method="LOF", modelColumns=cols, neighbors=5).fit(whole)
+    plain = df.na.drop(subset=cols)
+    want = {r["car_id"] for r in Outliers(method="LOF", modelColumns=cols, neighbors=5).fit(plain).transform(plain).collect()}
+    assert {int(r["car_id"][4:]) for r in lof_model.transform(whole).collect()} == want
+
+
+@pytest.mark.parametrize("top", [1])
+def test_more_columns_than_a_pattern_and_one_without_values(spark, monkeypatch, top):
+    monkeypatch.setattr(knn, "TOP_NODES", top)
+    monkeypatch.setattr(knn, "PATTERN_BITS", 2)  # of five columns: the others stand for those past the 63rd
+    monkeypatch.setattr(knn, "DONOR_ROWS", 16)
+    monkeypatch.setattr(knn, "RECEIVER_ROWS", 8)
+    df, x, _, cols = table(spark, n=60, p=5, gaps=0.2)
+    got = collected(MissingValues(method="knn", columns=cols, neighbors=3).fit(df).transform(df), cols)
+    np.testing.assert_allclose(got, brute_fill(x, x, 3, np.nanmean(x, axis=0)), atol=1e-9)
+    empty = df.select("car_id", "brand", "c0", "c1").withColumn("c2", F.lit(None).cast("double"))
+    some = x[:, :3].copy()
+    some[:, 2] = np.nan
+    got = collected(MissingValues(method="knn", columns=cols[:3], neighbors=3).fit(empty).transform(empty), cols[:3])
+    np.testing.assert_allclose(got, brute_fill(some, some, 3, [np.nanmean(x[:, 0]), np.nanmean(x[:, 1]), np.nan]), atol=1e-9)
+
+
+def test_k_rows_per_receiver_leave_a_task(spark, monkeypatch):
+    monkeypatch.setattr(knn, "DONOR_ROWS", 16)
+    df, x, _, cols = table(spark, n=300, gaps=0.0)
+    points = knn._points(df, "car_id", None, cols)
+    ranges = knn._ranges(points, len(cols))
+    donors = knn.build_donors(points, ranges, 4)
+    found = knn.nearest(points.withColumn("target", F.lit(knn.ANY)), donors, ranges, 4)
+    assert found.count() == 1200
+    seen = []
+    best = knn._Best(np.arange(50), x[:50], knn.ANY, np.inf, 4, False)
+    for low in range(0, 300, 16):
+        best.add(np.arange(low, min(low + 16, 300)), x[low:low + 16], 0.0)
+        seen.append(np.bincount(best.at, minlength=50).max())
+    assert max(seen) == 4
+    d = ((x[:50, None] - x[None]) ** 2).sum(-1)
+    want = np.argsort(d, axis=1, kind="stable")[:, :4]
+    order = np.argsort(best.at, kind="stable")
+    assert (best.donor[order].reshape(50, 4) == want).all()
