@@ -11,8 +11,8 @@ form next to it, with the names as lower-case words; either form may match, so a
 its letter case and whatever stands before it. A document is contaminated by an
 item when consistent windows cover at least `share` of the item's windows.
 
-The documents' windows are tested in their row against two bit tables of the benchmark (`TABLE` bits each, a
-fixed size): one of the first two words of its windows, which says where a window may start, and one of
+The documents' windows are tested in their row against two bit tables of the benchmark (`EACH` bits for each
+of its windows, `TABLE` at most): one of the first two words of its windows, which says where a window may start, and one of
 whole windows, which are only cut there. Only survivors leave the row; the join itself then sees few rows
 and decides exactly. A larger benchmark fills the tables and only makes the tests less selective.
 
@@ -33,7 +33,8 @@ from tabloom.storage import materialize
 WINDOW = 8
 LEAST_WORDS = 5
 SHARE = 0.5
-TABLE = 1 << 20
+#: Most bits of a table of windows, and bits for each window. Plans hold the tables, so they are kept small.
+TABLE, EACH = 1 << 20, 64
 #: Benchmark windows that may be broadcast: fewer than this many rows of about 200 bytes.
 SMALL_WINDOWS = 200_000
 #: Most bits of the table of ordinary words (a small benchmark takes 32 a word, as plans hold the table), and
@@ -80,7 +81,7 @@ def _settled(words: Column, ordinary: bytes | None) -> Column:
     def settled(w: Column) -> Column:
         word = F.substring(w, 2, 1 << 30)
         probes = F.array(*[F.xxhash64(word, F.lit(k)) for k in range(PROBES)])
-        usual = F.forall(probes, lambda h: _is_set(ordinary, h, 8 * len(ordinary)))
+        usual = F.forall(probes, lambda h: _is_set(ordinary, h))
         return F.when(F.ascii(w) != 94, w).when(usual, word).otherwise(F.concat(F.lit("@"), word))
 
     return F.transform(words, settled)
@@ -157,18 +158,21 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW, ordinary: bytes |
         .select("hash", "size", "item_id", "at", "of", F.slice("words", F.col("at") + 1, F.col("size")).alias("item_words")).distinct()
 
 
-def _bits(hashes: DataFrame) -> bytes:
-    """A bit per slot of the table, set where one of the hashes falls. At most TABLE positions come to the
+def _bits(hashes: DataFrame, each: int) -> bytes:
+    """A bit per slot of a table, set where one of the hashes falls. At most TABLE positions come to the
     driver."""
-    found = bytearray(TABLE // 8)
-    for r in hashes.select(F.pmod("hash", F.lit(TABLE)).cast("int").alias("slot")).distinct().collect():
+    size, known = min(1024, TABLE), hashes.limit(TABLE).distinct().count()
+    while size < min(TABLE, each * known):
+        size *= 2
+    found = bytearray(size // 8)
+    for r in hashes.select(F.pmod("hash", F.lit(size)).cast("int").alias("slot")).distinct().collect():
         found[r["slot"] >> 3] |= 1 << (r["slot"] & 7)
     return bytes(found)
 
 
-def _is_set(bits: bytes, value: Column, size: int | None = None) -> Column:
+def _is_set(bits: bytes, value: Column) -> Column:
     """Whether the hash's bit is set. Most bytes are zero, so most tests end at the first comparison."""
-    slot = F.pmod(value, F.lit(size or TABLE)).cast("int")
+    slot = F.pmod(value, F.lit(8 * len(bits))).cast("int")
     byte = F.substring(F.lit(bits), F.shiftright(slot, 3) + 1, F.lit(1))
     number = F.conv(F.hex(byte), 16, 10).cast("int")
     return (byte != F.lit(b"\x00")) & (F.getbit(number, slot.bitwiseAND(F.lit(7))) == 1)
@@ -179,7 +183,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     ordinary = ordinary_words(items)
     bench = materialize(benchmark_windows(items, window, ordinary), "benchmark")
     sizes = [r["size"] for r in bench.select("size").distinct().orderBy("size").collect()]  # at most window of them
-    starts, whole_windows = _bits(bench.select(_start(_word_hashes(_template(F.col("item_words"))), F.lit(0)).alias("hash"))), _bits(bench)
+    starts, whole_windows = _bits(bench.select(_start(_word_hashes(_template(F.col("item_words"))), F.lit(0)).alias("hash")), EACH // 2), _bits(bench.select("hash"), EACH)
     words = F.col("words")
     # the plain form differs only in texts with names
     plain = F.when(F.exists(words, lambda w: F.ascii(w) == 64), _word_hashes(_template(_plain(words))))
@@ -189,9 +193,10 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
         .withColumns({"word_hashes": _word_hashes(_template(words)), "plain_hashes": plain})
 
     def may_start(i: Column) -> Column:
-        # null, and so no start, in a text without names
+        # null in a text without names
         other = (F.get("plain_hashes", i) != F.get("word_hashes", i)) | (F.get("plain_hashes", i + 1) != F.get("word_hashes", i + 1))
-        return _is_set(starts, _start(F.col("word_hashes"), i)) | (other & _is_set(starts, _start(F.col("plain_hashes"), i)))
+        forms = F.array(_start(F.col("word_hashes"), i), F.when(other, _start(F.col("plain_hashes"), i)))
+        return F.exists(forms, lambda h: h.isNotNull() & _is_set(starts, h))
 
     rows = rows.withColumn("at", F.when(F.size("words") > 1, F.filter(F.sequence(F.lit(0), F.size("words") - 2), may_start)))
 
