@@ -9,7 +9,12 @@ tree is the same wherever it grows:
   histograms per (tree, node), one row per node and task is shuffled, and the best splits come back;
 - a larger node that finds no gain or meets the depth limit is a leaf made of these sums, and its rows stay;
 - a node with at most `local_rows` rows is finished inside one task;
-- a training table that small as a whole is sent to the tasks once (checked size), one task per tree.
+- a training table that small as a whole is sent to the tasks once (checked size), one task per tree;
+- rows leave a scan for one group of `TREE_GROUP` trees at a time, and its subtrees are written before the next.
+
+A row is told apart by its values and by its number among rows of equal values, so a forest does not
+depend on how the table is cut into files and tasks. Bins are quantiles of about `BIN_ROWS` rows chosen by
+that identity (all rows of a smaller table).
 
 Grown trees are a table, one row per (tree, subtree). Prediction meets row chunks with tree chunks by
 shuffle and averages, so neither the forest nor the rows have to fit one task or the driver.
@@ -17,6 +22,7 @@ shuffle and averages, so neither the forest nor the rows have to fit one task or
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,6 +40,8 @@ LOCAL_ROWS = 200_000
 TREE_GROUP = 16  # trees whose upper levels grow in the same scans
 ROW_CHUNK, TREE_CHUNK = 50_000, 8
 GRID = (1 << 24) - 1
+BIN_ROWS = 200_000  # rows that the bins are taken from
+TOGETHER = 10_000  # equal rows that are numbered in one piece
 
 
 @dataclass(frozen=True)
@@ -294,33 +302,41 @@ def _binned(df: DataFrame, cols: list[str], cuts: list[np.ndarray], keep: list[s
 
 def _quantile_cuts(df: DataFrame, cols: list[str], bins: int) -> list[np.ndarray]:
     p = [i / bins for i in range(1, bins)]
-    row = df.agg(*[F.percentile_approx(col(c).cast("double"), p, 10_000).alias(f"q{j}") for j, c in enumerate(cols)]).first()
+    row = df.agg(*[F.percentile(col(c), p).alias(f"q{j}") for j, c in enumerate(cols)]).first()
     return [np.unique(np.array(v, float)) if v is not None else np.empty(0) for v in row]
 
 
+def _numbered(rows: DataFrame, cols: list[str], label: str, kind: str) -> DataFrame:
+    """Columns as doubles, `__label`, and `__h`: a hash of the row's values and of its number among equal rows.
+    Equal rows are counted before the shuffle, and a large count is numbered by several tasks."""
+    values = rows.select(*[col(c).cast("double") for c in cols], col(label).cast(kind).alias("__label"))
+    counted = values.groupBy(*[col(c) for c in values.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    step = F.lit(TOGETHER).cast("long")
+    pieces = counted.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, step)))
+    hashed = F.xxhash64(*[col(c) for c in values.columns])
+    pieces = pieces.withColumn("__h", hashed).repartition("__h", "__from")
+    each = pieces.withColumn("__at", F.explode(F.sequence("__from", F.least(F.col("__from") + step, F.col("__n")) - 1)))
+    return each.withColumn("__h", F.xxhash64("__h", "__at")).drop("__n", "__from", "__at")
+
+
 def fit(df: DataFrame, cols: list[str], label: str, g: Growth = Growth(), classes: bool = False,
         local_rows: int = LOCAL_ROWS) -> Forest:
     """Grow a forest on the rows that have a label; with `classes`, on one indicator per class."""
-    rows = df.where(col(label).isNotNull())
-    cuts = _quantile_cuts(rows, cols, g.bins)
+    rows = materialize(_numbered(df.where(col(label).isNotNull()), cols, label, "string" if classes else "double"), "rows")
+    n = rows.count()
+    if n == 0:
+        raise ValueError("no row has a label")
+    cuts = _quantile_cuts(rows.where(F.pmod("__h", F.lit(n)) < BIN_ROWS), cols, g.bins)
     names = None
     if classes:
-        names = sorted(r[0] for r in rows.select(col(label).cast("string")).distinct().collect())
-        y = F.array(*[(col(label).cast("string") == c).cast("double") for c in names])
+        names = sorted(r[0] for r in rows.select("__label").distinct().collect())
+        y = F.array(*[(F.col("__label") == c).cast("double") for c in names])
         low, step = np.zeros(len(names)), np.ones(len(names))
     else:
-        ends = rows.agg(F.min(col(label).cast("double")), F.max(col(label).cast("double"))).first()
-        if ends[0] is None:
-            raise ValueError("no row has a label")
+        ends = rows.agg(F.min("__label"), F.max("__label")).first()
         low, step = np.array([ends[0]]), np.array([(ends[1] - ends[0]) / GRID or 1.0])
-        y = F.array(F.round((col(label).cast("double") - float(low[0])) / float(step[0])))
-    kept = rows.select(*[col(c) for c in cols], y.alias("__y"), F.xxhash64(*[col(c) for c in cols], col(label)).alias("__h"))
-    data = materialize(_binned(kept, cols, cuts, ["__h", "__y"]), "binned")
-    n = data.count()
-    if n == 0:
-        raise ValueError("no row has a label")
-    # equal rows draw their weights apart: each row's place is told by its file and position
-    data = data.withColumn("__h", F.xxhash64("__h", F.monotonically_increasing_id()))
+        y = F.array(F.round((F.col("__label") - float(low[0])) / float(step[0])))
+    data = materialize(_binned(rows.select(*[col(c) for c in cols], y.alias("__y"), "__h"), cols, cuts, ["__h", "__y"]), "binned")
     if n <= local_rows:
         parts, top = _grow_everywhere(data, g, len(cols)), {}
         gains_of_top = np.zeros((g.trees, len(cols)))
@@ -378,8 +394,10 @@ def _grow_from_the_top(data: DataFrame, g: Growth, p: int, local_rows: int):
     top: dict[int, dict[int, tuple[int, int]]] = {t: {} for t in range(g.trees)}
     closed: dict[int, dict[int, list[float]]] = {t: {} for t in range(g.trees)}  # large leaves: {path: label means}
     gains = np.zeros((g.trees, p))
+    finished = []
     for first in range(0, g.trees, TREE_GROUP):
-        large = {t: {int(ROOT): []} for t in range(first, min(first + TREE_GROUP, g.trees))}
+        group = range(first, min(first + TREE_GROUP, g.trees))
+        large = {t: {int(ROOT): []} for t in group}
         depth = 0
         while any(large.values()) and not (g.depth and depth >= g.depth):
             found = _level(data, {t: top[t] for t in large}, large, g, p).collect()  # one row per open node
@@ -397,7 +415,9 @@ def _grow_from_the_top(data: DataFrame, g: Growth, p: int, local_rows: int):
             depth += 1
         for t, nodes in large.items():  # those at the depth limit
             closed[t].update(nodes)
-    return _finish(data, top, closed, g, p), top, gains
+        finish = _finish(data, {t: top[t] for t in group}, {t: closed[t] for t in group}, g, p)
+        finished.append(materialize(finish, "subtrees"))
+    return functools.reduce(DataFrame.union, finished), top, gains
 
 
 def _level(data: DataFrame, top: dict, large: dict, g: Growth, p: int) -> DataFrame:
@@ -456,7 +476,7 @@ def _depth_of(top: dict, path: int) -> int:
 
 
 def _finish(data: DataFrame, top: dict, closed: dict, g: Growth, p: int) -> DataFrame:
-    """Subtrees of the open nodes, each in one task, and the large leaves."""
+    """Subtrees of the open nodes of the trees in `top`, each in one task, and the large leaves."""
     done = {t: np.array(list(nodes), np.uint64).astype(np.int64) for t, nodes in closed.items()}
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,7 +484,7 @@ def _finish(data: DataFrame, top: dict, closed: dict, g: Growth, p: int) -> Data
             if not b.num_rows:
                 continue
             h, _, codes = _arrays(b, p)
-            for tree in range(g.trees):
+            for tree in top:
                 at = np.flatnonzero(row_weights(h, tree, g) > 0)
                 path = _walk(top, codes[at], tree).astype(np.int64)
                 open_ = ~np.isin(path, done[tree])
@@ -490,7 +510,7 @@ def _finish(data: DataFrame, top: dict, closed: dict, g: Growth, p: int) -> Data
 def _predict(forest: Forest, df: DataFrame, out: str) -> DataFrame:
     """Mean of the trees (for classes the class with the largest mean), joined to the rows."""
     g, p, c = forest.growth, len(forest.columns), len(forest.low)
-    rows = materialize(df, "to-predict").withColumn("__row", F.monotonically_increasing_id())
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "to-predict")  # numbers are read back
     codes = _binned(rows, forest.columns, forest.cuts, ["__row"])
     chunks = max(1, -(-rows.count() // ROW_CHUNK))
     groups = -(-g.trees // TREE_CHUNK)
@@ -508,7 +528,7 @@ def _predict(forest: Forest, df: DataFrame, out: str) -> DataFrame:
         by_tree: dict[int, list] = {}
         for r in right.to_pylist():
             by_tree.setdefault(r["tree"], []).append(r)
-        for tree, parts in by_tree.items():
+        for tree, parts in sorted(by_tree.items()):  # sums do not depend on the order of the rows
             path = _walk(top, x, tree).astype(np.int64)
             for r in parts:
                 use = np.flatnonzero(path == r["path"])

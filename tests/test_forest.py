@@ -131,3 +131,21 @@ def test_large_leaves_are_closed_above(spark, monkeypatch, depth, bootstrap):
     if not bootstrap:
         want = whole.transform(df).toPandas().sort_values(["a", "b", "y"])["prediction"].to_numpy()
         assert np.array_equal(got, want)
+
+
+@pytest.mark.parametrize("local_rows", [200_000, 60])
+def test_the_same_trees_however_the_table_is_cut(spark, data, local_rows):
+    twice = data.union(data.where("id < 40")).union(data.where("id < 40"))  # equal rows draw weights of their own
+    g = fo.Growth(trees=3, columns="sqrt", seed=5)
+    forests = [fo.fit(twice.repartition(n), COLS, "y", g, local_rows=local_rows) for n in (1, 7)]
+    one, seven = (fo.frame_of(f.parts) for f in forests)
+    assert one.equals(seven) and forests[0].top == forests[1].top and len(one)
+    twin = fo._numbered(twice, COLS, "y", "double").groupBy("__h").count()
+    assert twin.where("count > 1").count() == 0
+
+
+def test_equal_rows_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(fo, "TOGETHER", 7)
+    same = spark.range(100).selectExpr("1.0D AS a", "2.0D AS y")
+    rows = fo._numbered(same, ["a"], "y", "double")
+    assert rows.count() == 100 and rows.select("__h").distinct().count() == 100
