@@ -14,9 +14,6 @@ from tabloom.operators.quantiles import columns_of, exact_quantiles
 #: Most columns a contingency table may have; past it use the long form.
 MAX_PIVOT = 1000
 
-#: More columns than this are correlated through moment matrices.
-WIDE = 12
-
 
 def mean_by_category(df: DataFrame, numeric: str, category: str) -> DataFrame:
     """Mean of a number per category, highest first, rows without a category left out."""
@@ -191,21 +188,12 @@ def safe_corr(a: Column, b: Column) -> Column:
 
 
 def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(feature_a, feature_b, corr) for every unordered pair, all pairs in one scan. Many columns
-    would make one aggregation of hundreds of expressions, so they go through moment matrices."""
-    pairs = list(combinations(cols, 2))
-    if len(cols) > WIDE:
-        r = pairwise_correlations(df, cols)
-        at = {c: i for i, c in enumerate(cols)}
-        rows = [(a, b, float(r[at[a], at[b]])) for a, b in pairs]
-        rows = [(a, b, None if v != v else v) for a, b, v in rows]
-        return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
-    row = df.agg(*[safe_corr(col(a), col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    return stacked(
-        row,
-        [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{i}").alias("corr"))
-         for i, (a, b) in enumerate(pairs)],
-    )
+    """(feature_a, feature_b, corr) for every unordered pair, all pairs in one scan of moment matrices."""
+    r = pairwise_correlations(df, cols)
+    at = {c: i for i, c in enumerate(cols)}
+    rows = [(a, b, float(r[at[a], at[b]])) for a, b in combinations(cols, 2)]
+    rows = [(a, b, None if v != v else v) for a, b, v in rows]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], threshold: float) -> DataFrame:

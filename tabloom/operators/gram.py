@@ -117,30 +117,35 @@ def _as_is(x: np.ndarray) -> np.ndarray:
 
 
 def pairwise_correlations(df: DataFrame, cols: list[str]) -> np.ndarray:
-    """Pearson matrix in one pass, each pair over the rows where both are present; NaN where one
-    of the two does not vary."""
+    """Pearson matrix in one pass, each pair over the rows where both are present; NaN where one of the two
+    does not vary there, which its smallest and largest value tell exactly."""
     p, shift = len(cols), column_means(df, cols)
     names = [f"x{i}" for i in range(p)]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((4, p, p))
+        sums, low, high = np.zeros((4, p, p)), np.full((p, p), np.inf), np.full((p, p), -np.inf)
         for batch in batches:
-            x = to_matrix(batch, names) - shift
-            here = (~np.isnan(x)).astype(float)
-            x = np.nan_to_num(x)
-            held += np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([held.ravel()], pa.list_(pa.float64()))], names=["cells"])
+            values = to_matrix(batch, names)
+            there = ~np.isnan(values)
+            for j in range(p):  # of every column, over the rows where column j is present
+                if there[:, j].any():
+                    part = values[there[:, j]]
+                    low[:, j] = np.fmin(low[:, j], np.fmin.reduce(part, axis=0))
+                    high[:, j] = np.fmax(high[:, j], np.fmax.reduce(part, axis=0))
+            x, here = np.nan_to_num(values - shift), there.astype(float)
+            sums += np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
+        cells = np.concatenate([sums.ravel(), low.ravel(), high.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array([cells], pa.list_(pa.float64()))], names=["cells"])
 
     data = df.select(*[col(c).cast("double").alias(n) for c, n in zip(cols, names)])
-    summed = (
+    merged = (
         data.mapInArrow(partial, "cells array<double>")
-        .select(F.posexplode("cells").alias("at", "cell"))
-        .groupBy("at").agg(F.sum("cell").alias("cell")).orderBy("at").toArrow()
+        .select(F.posexplode("cells").alias("at", "cell")).groupBy("at")
+        .agg(F.sum("cell").alias("sum"), F.min("cell").alias("low"), F.max("cell").alias("high")).orderBy("at").toArrow()
     )
-    n, s, ss, xy = summed.column("cell").to_numpy().reshape(4, p, p)
+    total, least, most = (merged.column(c).to_numpy() for c in ("sum", "low", "high"))
+    n, s, ss, xy = total[:4 * p * p].reshape(4, p, p)
+    varies = least[4 * p * p:5 * p * p] < most[5 * p * p:]
     with np.errstate(divide="ignore", invalid="ignore"):
-        var = np.maximum(ss - s * s / n, 0.0)
-        # A constant column leaves rounding dust instead of zero.
-        var[var <= 1e-12 * np.maximum(ss, 1e-300)] = 0.0
+        var = np.where(varies.reshape(p, p), np.maximum(ss - s * s / n, 0.0), 0.0)
         return (xy - s * s.T / n) / np.sqrt(var * var.T)

@@ -279,3 +279,17 @@ def test_scoreboard(spark):
     names = spark.createDataFrame([("a",), ("b",), ("c",)], "feature string")
     got = {r["feature"]: (r["votes"], r["share"], r["flagged"]) for r in selection.scoreboard(votes, names).collect()}
     assert got == {"a": (2, 0.5, True), "b": (1, 0.25, False), "c": (0, 0.0, False)}
+
+
+def test_constant_columns_have_no_correlation_at_any_width(spark):
+    """A constant far from zero leaves rounding dust in sums; the rule goes by its ends, pair by pair."""
+    from tabloom.operators import distributions
+
+    for width in (3, 13):
+        names = [f"c{i}" for i in range(width)]
+        rows = [(1e9 + 0.1, float(i % 7), float(i) if i % 2 else None, *[float((i * k) % 11) for k in range(3, width)]) for i in range(60)]
+        df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names))
+        got = {(r["feature_a"], r["feature_b"]): r["corr"] for r in distributions.correlations(df, names).collect()}
+        assert all(got["c0", c] is None for c in names[1:]) and len(got) == width * (width - 1) // 2
+        x, y = zip(*[(r[1], r[2]) for r in rows if r[2] is not None])
+        assert got["c1", "c2"] == pytest.approx(np.corrcoef(x, y)[0, 1])
