@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.profile import col, columns_by_type, value_table
 from tabloom.operators.state import Stage, StateModel, one_of, param, replace
-from tabloom.storage import settle
+from tabloom.storage import materialize, settle
 
 #: One-hot makes one column per category, so their number is checked.
 MAX_CATEGORIES = 2000
@@ -83,12 +83,21 @@ def encode_by_table(
 
 
 def group_codes(train: DataFrame, group: str, value: str, first: int) -> DataFrame:
-    """(group, value, code): sorted position of each value inside its group, from `first`."""
+    """(group, value, code): sorted position of each value inside its group, from `first`.
+
+    The pairs are numbered by a range sort, which splits a large group over tasks; a value's place in its
+    task and the counts of the tasks before give its position, so no group is a single task.
+    """
     pairs = train.where(col(group).isNotNull() & col(value).isNotNull())
     pairs = pairs.select(col(group), col(value)).distinct()
-    order = Window.partitionBy(col(group)).orderBy(col(value))
-    code = F.row_number().over(order).cast("bigint") + (first - 1)
-    return settle(pairs.withColumn("code", code), "group_codes")
+    pairs = pairs.repartitionByRange(col(group), col(value)).sortWithinPartitions(col(group), col(value))
+    placed = materialize(pairs.withColumn("__at", F.monotonically_increasing_id()), "group_values")
+    placed = placed.withColumn("__part", F.shiftright("__at", 33))
+    pieces = placed.groupBy(col(group), "__part").agg(F.min("__at").alias("__start"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(col(group)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    code = (F.col("__at") - F.col("__start") + F.col("__before") + first).cast("bigint")
+    return settle(placed.join(pieces, [group, "__part"]).select(col(group), col(value), code.alias("code")), "group_codes")
 
 
 def codes_per_group(

@@ -293,3 +293,18 @@ def test_constant_columns_have_no_correlation_at_any_width(spark):
         assert all(got["c0", c] is None for c in names[1:]) and len(got) == width * (width - 1) // 2
         x, y = zip(*[(r[1], r[2]) for r in rows if r[2] is not None])
         assert got["c1", "c2"] == pytest.approx(np.corrcoef(x, y)[0, 1])
+
+
+def test_codes_of_a_group_that_many_tasks_share(spark):
+    from tabloom.operators import encode
+
+    rows = [("big", f"v{i:05d}") for i in range(3000)] * 2 + [("small", "b"), ("small", "a"), (None, "x"), ("small", None)]
+    df = spark.createDataFrame(rows, "g string, v string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        codes = encode.group_codes(df, "g", "v", 1)
+        got = {(r["g"], r["v"]): r["code"] for r in codes.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {("big", f"v{i:05d}"): i + 1 for i in range(3000)} | {("small", "a"): 1, ("small", "b"): 2}
+    assert got == want
