@@ -11,7 +11,7 @@ from tabloom.operators.gram import pairwise_correlations
 from tabloom.operators.profile import col, most_frequent, stacked, value_table
 from tabloom.operators.quantiles import columns_of, exact_quantiles
 
-#: Most columns a contingency table may have; past it use the long form.
+#: Most columns a contingency table has; past it each row holds its cells in a map.
 MAX_PIVOT = 1000
 
 
@@ -29,12 +29,19 @@ def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
     return both.groupBy(col(a), col(b)).agg(F.count(F.lit(1)).alias("n"))
 
 
+def crosstab_sparse(df: DataFrame, a: str, b: str) -> DataFrame:
+    """One row per value of `a` with `counts`, a map from the values of `b` it meets to their counts."""
+    cells = F.map_from_entries(F.sort_array(F.collect_list(F.struct(col(b).cast("string").alias("k"), F.col("n").alias("v")))))
+    return crosstab_long(df, a, b).groupBy(col(a)).agg(cells.alias("counts"))
+
+
 def crosstab(df: DataFrame, a: str, b: str, values: list[str] | None = None) -> DataFrame:
-    """Contingency table with one column per value of `b`."""
+    """Contingency table with one column per value of `b`, or the sparse form where they are too many for
+    columns."""
     if values is None:
         found = df.select(col(b)).where(col(b).isNotNull()).distinct().limit(MAX_PIVOT + 1).collect()
         if len(found) > MAX_PIVOT:
-            raise ValueError(f"{b} has more than {MAX_PIVOT} values; use crosstab_long")
+            return crosstab_sparse(df, a, b)
         values = sorted(r[0] for r in found)
     both = df.where(col(a).isNotNull() & col(b).isNotNull())
     wide = both.groupBy(col(a)).agg(

@@ -308,3 +308,15 @@ def test_codes_of_a_group_that_many_tasks_share(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     want = {("big", f"v{i:05d}"): i + 1 for i in range(3000)} | {("small", "a"): 1, ("small", "b"): 2}
     assert got == want
+
+
+def test_crosstab_of_many_values_is_sparse(spark):
+    from tabloom.operators import distributions as d
+
+    df = spark.range(5000).selectExpr("concat('g', id % 3) AS a", "concat('v', id % 1200) AS b") \
+        .union(spark.sql("SELECT 'g0' AS a, CAST(NULL AS STRING) AS b"))
+    got = {(r["a"], k): n for r in d.crosstab(df, "a", "b").collect() for k, n in r["counts"].items()}
+    assert got == {(r["a"], r["b"]): r["n"] for r in d.crosstab_long(df, "a", "b").collect()} and len(got) == 1200
+    few = df.where("b IN ('v1', 'v2', 'v3')")
+    wide = {(r["a"], k): r[k] for r in d.crosstab(few, "a", "b").collect() for k in ("v1", "v2", "v3") if r[k]}
+    assert wide == {(r["a"], k): n for r in d.crosstab_sparse(few, "a", "b").collect() for k, n in r["counts"].items()}
