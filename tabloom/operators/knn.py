@@ -211,7 +211,9 @@ class _Best:
             ok &= shared > 0
         if self.target != ANY:
             ok &= has[:, self.target]
-        return np.nonzero(ok)
+        rows = np.flatnonzero(ok.any(axis=1))  # far blocks have few receivers with a candidate
+        at, of = np.nonzero(ok[rows])
+        return rows[at], of
 
     def add(self, ids: np.ndarray, xs: np.ndarray, least: float) -> None:
         if least > self.limit.max() * SLACK:
