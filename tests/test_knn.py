@@ -186,3 +186,26 @@ def test_k_rows_per_receiver_leave_a_task(spark, monkeypatch):
     want = np.argsort(d, axis=1, kind="stable")[:, :4]
     order = np.argsort(best.at, kind="stable")
     assert (best.donor[order].reshape(50, 4) == want).all()
+
+
+def test_a_block_travels_once_per_tile(spark, monkeypatch):
+    monkeypatch.setattr(knn, "DONOR_ROWS", 16)
+    monkeypatch.setattr(knn, "RECEIVER_ROWS", 8)
+    monkeypatch.setattr(knn, "TILES", 1)
+    df, _, _, cols = table(spark, n=300, gaps=0.0)
+    points = knn._points(df, "car_id", None, cols).coalesce(1)
+    ranges = knn._ranges(points, 3)
+    donors = knn.build_donors(points, ranges, 4)
+    packed = knn._pack(points.withColumn("target", F.lit(knn.ANY)), ["g", "target"], ranges, 8, "receivers")
+    pairs = packed.select(F.col("name").alias("r_name")).crossJoin(donors.select(F.col("name").alias("d_name"))) \
+        .withColumn("least", F.lit(0.0))
+    none = spark.createDataFrame([], "r_name string, bound double, limits array<double>")
+    sent = knn._meeting(packed, none, pairs, donors)
+    assert sent.where("own = 0").count() * 4 <= pairs.count()  # before: a copy of the donor block per pair
+
+
+def test_cells_are_as_long_in_every_column(spark):
+    points = spark.range(4096).selectExpr("id", "'' AS g", "(id % 64) * 1000d AS x0", "floor(id / 64) * 1d AS x1", "3L AS pattern")
+    cells = knn._with_curve(points, [[0.0, 63000.0], [0.0, 63.0]]).withColumn("block", F.row_number().over(knn.Window.orderBy("z")) / 256)
+    wide = cells.groupBy(F.ceil("block").alias("b")).agg((F.max("x0") - F.min("x0")).alias("w")).agg(F.max("w")).first()[0]
+    assert wide <= 4000  # before: 15,000, as both columns were halved in turn
