@@ -149,3 +149,13 @@ def test_equal_rows_in_pieces(spark, monkeypatch):
     same = spark.range(100).selectExpr("1.0D AS a", "2.0D AS y")
     rows = fo._numbered(same, ["a"], "y", "double")
     assert rows.count() == 100 and rows.select("__h").distinct().count() == 100
+
+
+def test_prediction_keeps_the_trees_in_place(spark, data, monkeypatch):
+    f = fo.fit(data, COLS, "y", fo.Growth(trees=20, columns="sqrt", bins=16), local_rows=60)
+    near = f.transform(data).orderBy("id").select("prediction").collect()
+    plan = f.transform(data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" not in plan  # neither rows nor trees were copied for every pair of chunks
+    monkeypatch.setattr(fo, "LOCAL_ROWS", 10)
+    monkeypatch.setattr(fo, "ROW_CHUNK", 70)
+    assert f.transform(data).orderBy("id").select("prediction").collect() == near
