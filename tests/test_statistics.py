@@ -320,3 +320,14 @@ def test_crosstab_of_many_values_is_sparse(spark):
     few = df.where("b IN ('v1', 'v2', 'v3')")
     wide = {(r["a"], k): r[k] for r in d.crosstab(few, "a", "b").collect() for k in ("v1", "v2", "v3") if r[k]}
     assert wide == {(r["a"], k): n for r in d.crosstab_sparse(few, "a", "b").collect() for k, n in r["counts"].items()}
+
+
+def test_the_split_counts_its_rows_once(spark, monkeypatch):
+    from tabloom.operators import split
+
+    rows = spark.range(50).selectExpr("id AS car_id", "'a' AS brand")
+    seen = []
+    plain = split.settle
+    monkeypatch.setattr(split, "settle", lambda df, label, *a: seen.append(label) or plain(df, label, *a))
+    assert stratified_split(rows, "car_id", "brand").count() == 50
+    assert "codes" not in seen  # past 20,000 counters it was evaluated twice
