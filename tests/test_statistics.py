@@ -322,6 +322,18 @@ def test_crosstab_of_many_values_is_sparse(spark):
     assert wide == {(r["a"], k): n for r in d.crosstab_sparse(few, "a", "b").collect() for k, n in r["counts"].items()}
 
 
+def test_ranks_of_a_window_share_a_sketch(spark, monkeypatch):
+    from tabloom.operators import quantiles
+
+    sketches, plain = [], F.percentile_approx
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda x, p, a: sketches.append(len(p)) or plain(x, p, a))
+    df, _ = frame(spark, np.arange(999.0).reshape(-1, 1), ["x"])
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    got = exact_quantiles(df, columns_of(["x"]), probs, direct_rows=0, final_rows=5000)["x"]
+    np.testing.assert_allclose(got, np.quantile(np.arange(999.0), probs))
+    assert len(sketches) == 1  # before: one for each rank
+
+
 def test_the_split_counts_its_rows_once(spark, monkeypatch):
     from tabloom.operators import split
 
