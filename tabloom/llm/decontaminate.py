@@ -148,7 +148,9 @@ def _start(hashes: Column, at: Column) -> Column:
 def benchmark_windows(items: DataFrame, window: int = WINDOW, ordinary: bytes | None = None) -> DataFrame:
     """Windows of at least two words: hash, size, item_id, at, of (windows of the item), words: one row per window, and one for its plain
     form if that is another."""
-    cut = items.select("item_id", tokens(whole(), ordinary).alias("words")).distinct() \
+    # written first: every use of the words below would repeat the table of ordinary words in the plan
+    words = materialize(items.select("item_id", tokens(whole(), ordinary).alias("words")), "item_words")
+    cut = words.distinct() \
         .withColumn("template", _template(F.col("words"))) \
         .withColumn("size", F.least(F.lit(window), F.size("words"))).where(F.col("size") >= min(LEAST_WORDS, window))
     plain = cut.withColumn("words", _plain(F.col("words"))).withColumn("template", _template(F.col("words")))

@@ -197,3 +197,12 @@ def test_texts_of_common_pairs_of_words(spark):
     items = [(1, "the cat and the dog and the bird and the fish and the cow"), (2, "and the cat sat on the mat")]
     texts = ["and the " * 50, "the cat and the dog and the bird and the fish and the cow", "dog and the bird and the fish and the", "x and the cat sat on the mat y"]
     assert run(spark, texts, items) == brute(texts, items)
+
+
+def test_plan_of_benchmark_windows_holds_no_bit_table(spark):
+    """Each use of the words would repeat the table in the plan, which the driver keeps as text."""
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    ordinary = d.ordinary_words(items)
+    windows = d.benchmark_windows(items, 8, ordinary)
+    assert ordinary.hex().upper() not in windows._jdf.queryExecution().toString()
+    assert windows.select("item_id").distinct().count() == 5
