@@ -159,3 +159,53 @@ def test_prediction_keeps_the_trees_in_place(spark, data, monkeypatch):
     monkeypatch.setattr(fo, "LOCAL_ROWS", 10)
     monkeypatch.setattr(fo, "ROW_CHUNK", 70)
     assert f.transform(data).orderBy("id").select("prediction").collect() == near
+
+
+@pytest.mark.parametrize("classes", [False, True])
+def test_batches_of_nodes_change_nothing(monkeypatch, classes):
+    draw = np.random.default_rng(2)
+    codes, h = draw.integers(0, 16, (600, 5)).astype(np.uint8), draw.integers(0, 2**62, 600)
+    y = np.eye(3)[draw.integers(0, 3, 600)] if classes else draw.integers(0, 1 << 24, (600, 1)).astype(float)
+    for columns in ("sqrt", "all"):
+        g = fo.Growth(columns=columns, bins=16, least_leaf=2, least_split=5)
+        grown = []
+        for rows in (1, 50, 10_000):  # every node from histograms, some, none
+            monkeypatch.setattr(fo, "BATCH_ROWS", rows)
+            t, gains = fo.grow(codes, y, fo.row_weights(h, 0, g), 0, fo.ROOT, 0, g)
+            grown.append((walked(t), gains))
+        assert grown[0][0] == grown[1][0] == grown[2][0]
+        assert np.allclose(grown[0][1], grown[2][1]) and np.allclose(grown[0][1], grown[1][1])
+
+
+def walked(t, at=0):
+    if t.column[at] < 0:
+        return tuple(t.value[at])
+    assert t.right[at] == t.left[at] + 1
+    return (int(t.column[at]), int(t.cut[at]), walked(t, t.left[at]), walked(t, t.right[at]))
+
+
+def test_stored_trees_are_small_and_lead_to_the_same_leaves(monkeypatch):
+    draw = np.random.default_rng(4)
+    for p in (4, 300):  # a column number of one byte and of two
+        codes, h = draw.integers(0, 128, (500, p)).astype(np.uint8), draw.integers(0, 2**62, 500)
+        g = fo.Growth(columns="all")
+        t, _ = fo.grow(codes, draw.integers(0, 1000, (500, 1)).astype(float), fo.row_weights(h, 0, g), 0, fo.ROOT, 0, g)
+        stored = fo._stored(t)
+        assert len(stored["nodes"]) + len(stored["value"]) < sum(map(len, fo._packed(t).values())) / 2
+        monkeypatch.setattr(fo, "PASS_ROWS", 64)
+        got = fo._leaf_values(stored, codes, 1)[:, 0]
+        for i in range(0, 500, 7):
+            at = 0
+            while t.column[at] >= 0:
+                at = t.right[at] if codes[i, t.column[at]] > t.cut[at] else t.left[at]
+            assert got[i] == t.value[at][0]
+
+
+def test_sums_of_predictions_leave_a_task_in_blocks(spark, data, monkeypatch):
+    monkeypatch.setattr(fo, "SUM_ROWS", 150)
+    f = fo.fit(data, COLS, "y", fo.Growth(trees=6, columns="sqrt", bins=16))
+    near = [r[0] for r in f.transform(data).orderBy("id").select("prediction").collect()]
+    monkeypatch.setattr(fo, "HELD_BYTES", 1000)  # the table is too large to be held
+    assert [r[0] for r in f.transform(data).orderBy("id").select("prediction").collect()] == near and len(near) == 400
+    above = fo.fit(data, COLS, "y", fo.Growth(trees=2, columns="sqrt", bins=16), local_rows=10**9)
+    assert all(above.top.values()) and above.size > 0  # grown by scans, whatever the number of rows allows
