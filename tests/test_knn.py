@@ -209,3 +209,61 @@ def test_cells_are_as_long_in_every_column(spark):
     cells = knn._with_curve(points, [[0.0, 63000.0], [0.0, 63.0]]).withColumn("block", F.row_number().over(knn.Window.orderBy("z")) / 256)
     wide = cells.groupBy(F.ceil("block").alias("b")).agg((F.max("x0") - F.min("x0")).alias("w")).agg(F.max("w")).first()[0]
     assert wide <= 4000  # before: 15,000, as both columns were halved in turn
+
+
+def with_gaps(n, p=5, seed=8, gaps=0.15):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, p))
+    x[:, 0] = np.round(x[:, 0])
+    x[rng.random((n, p)) < gaps] = np.nan
+    return x[~np.isnan(x).all(axis=1)]
+
+
+def test_leaves_hold_every_donor_once_and_their_boxes_hold_them(monkeypatch):
+    monkeypatch.setattr(knn, "LEAF_ROWS", 16)
+    monkeypatch.setattr(knn, "BRANCH", 3)
+    x = with_gaps(900)
+    d = knn._Donors(np.arange(len(x)), x)
+    assert sorted(d.ids) == list(range(len(x))) and np.array_equal(x[d.ids], d.xs, equal_nan=True)
+    assert (d.ends - d.start).max() <= 16 and d.leaves.sum() == len(d.start) and d.leaves.max() <= 3
+    for a, b, low, high, some in zip(d.start, d.ends, d.low, d.high, d.some):
+        cells = d.xs[a:b] - d.centre
+        assert not ((cells < low - 1e-12) | (cells > high + 1e-12)).any()
+        assert np.array_equal(some, d.has[a:b].any(axis=0))
+
+
+@pytest.mark.parametrize("target, exclude_self", [(knn.ANY, True), (knn.ANY, False), (2, False)])
+def test_rows_meet_few_donors_and_miss_none(monkeypatch, target, exclude_self):
+    monkeypatch.setattr(knn, "LEAF_ROWS", 16)
+    monkeypatch.setattr(knn, "BESIDE_ROWS", 100)
+    monkeypatch.setattr(knn, "PAIRS", 500)
+    x = with_gaps(3000, gaps=0.03)
+    ids = np.arange(len(x)) // 2 * 2 if exclude_self else np.arange(len(x))  # keys may repeat
+    rows = x[:400].copy()
+    if target != knn.ANY:
+        rows[:, target] = np.nan
+    met = []
+    plain = knn._Best._meet
+    monkeypatch.setattr(knn._Best, "_meet", lambda self, donors, told, slack, at, leaf: (met.append((donors.ends - donors.start)[leaf].sum()),
+                                                                                        plain(self, donors, told, slack, at, leaf)))
+    best = knn._Best(ids[:400], rows, target, np.inf, 4, exclude_self)
+    best.search(knn._Donors(ids, x))
+    assert sum(met) < 0.5 * 400 * len(x)
+    order = np.lexsort((best.donor, best.d2, best.at))
+    for i in range(400):
+        both = ~np.isnan(rows[i]) & ~np.isnan(x)
+        d2 = np.where(both, (rows[i] - x) ** 2, 0).sum(1) * (x.shape[1] / np.maximum(both.sum(1), 1))
+        ok = both.any(axis=1) & (ids != ids[i] if exclude_self else True) & (~np.isnan(x[:, target]) if target != knn.ANY else True)
+        want = np.sort(d2[ok])[:4]
+        np.testing.assert_allclose(best.d2[order][best.at[order] == i], want, rtol=1e-12)
+
+
+def test_a_search_in_parts_equals_one(monkeypatch):
+    x = with_gaps(500, seed=9)
+    whole, parts = (knn._Best(np.arange(80), x[:80], knn.ANY, np.inf, 3, True) for _ in range(2))
+    whole.search(knn._Donors(np.arange(len(x)), x))
+    for a in range(0, len(x), 70):
+        parts.add(np.arange(len(x))[a:a + 70], x[a:a + 70], 0.0)
+    for b in (whole, parts):
+        b.order = np.lexsort((b.donor, b.d2, b.at))
+    assert np.array_equal(whole.donor[whole.order], parts.donor[parts.order]) and np.array_equal(whole.at[whole.order], parts.at[parts.order])
